@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 _RENAMED = " ".join(f"WHEN 'NATION_{i}' THEN 'NATION_{i - 20}'" for i in range(20, 25))
 
 PARTS = {
@@ -120,6 +122,18 @@ def with_parts(parts: str, body: str, extra: str = "") -> str:
     ctes = [PARTS[n] for n in order] + ([extra] if extra else [])
     return f"WITH {', '.join(ctes)}\n{body}" if ctes else body
 
+_MASKED = ["frame", "team_race", "team_pos", "team_hist", "dpos", "dhist", "lagged"]
+
+
+def masked_lagged(year: int, round_number: int) -> str:
+    """The lag fragments again, over a frame whose target race has no outcome."""
+    text = ",\n".join(PARTS[n] for n in ("team_race", "team_hist", "lagged"))
+    for name in _MASKED:
+        text = re.sub(rf"\b{name}\b", f"m_{name}", text)
+    return f"""m_frame AS (
+  SELECT * REPLACE (CASE WHEN NOT (year = {year} AND round_number = {round_number}) THEN pos END AS pos) FROM frame),
+{text}"""
+
 
 def melted(source: str, columns: dict[str, str] = NUMERIC, keys: str = "") -> str:
     """Long form of several columns: (keys, column, value)."""

@@ -14,7 +14,7 @@ from ..schemas import CATEGORICAL_FEATURES, CIRCUIT, NUMERIC_SCALE_FEATURES, SES
 from ..session import small_side
 from . import standin as st
 from .catalog import cells, query, tidy
-from .oracle import NUMERIC, melted, with_parts
+from .oracle import NUMERIC, masked_lagged, melted, with_parts
 from .features import build_inference_features, drop_from_race, lagged_frame, split_by_season
 
 KEYS = {"year": "year", "round_number": "round_number", "driver_number": "DriverNumber", "driver_id": "DriverId"}
@@ -375,8 +375,10 @@ def fe18b(spark, sf):
 @query(
     "fe19_inference_matrix",
     with_parts("filled codes", "", "").rstrip()
+    + ", "
+    + masked_lagged(2001, 5)
     + f""", params AS (SELECT {', '.join(f'avg({c}) AS {c}_m, stddev_pop({c}) AS {c}_s' for c in NUMERIC.values())} FROM filled),
-tgt AS (SELECT * FROM lagged WHERE year = 2001 AND round_number = 5)
+tgt AS (SELECT * FROM m_lagged WHERE year = 2001 AND round_number = 5)
 SELECT g.dn AS driver_number, g.did AS driver_id, t.code AS team_code, c.code AS circuit_code,
   {', '.join(f'round((coalesce(CAST(g.{c} AS DOUBLE), m.{c}) - p.{c}_m) / p.{c}_s, 6) + 0e0 AS {c}' for c in NUMERIC.values())}
 FROM tgt g CROSS JOIN med m CROSS JOIN params p LEFT JOIN team_codes t ON g.team = t.cls LEFT JOIN circuit_codes c ON g.circuit = c.cls""",
