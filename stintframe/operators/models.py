@@ -11,11 +11,12 @@ from multiprocessing.pool import ThreadPool
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import year_label
 from ..schemas import FINAL_FEATURES, TARGET, quoted
+from ..sources.tables import path_exists
 from .metrics import METRICS, mean_absolute_error, score
 
 # ---- fixed values: search space and best parameters of the published study --
@@ -98,8 +99,6 @@ def season_list(df: DataFrame) -> list[int]:
 
 def expanding_folds(df: DataFrame) -> DataFrame:
     """(fold, train_years, val_year, n_train, n_val): fold i validates season i on all before."""
-    from pyspark.sql import Window
-
     per_year = df.groupBy("year").agg(F.count("*").alias("n"))
     by_year = Window.partitionBy(F.lit(0)).orderBy("year")  # one row per season
     before = by_year.rowsBetween(Window.unboundedPreceding, -1)
@@ -171,11 +170,8 @@ def append_model_row(comparison: DataFrame, model: str, scores: DataFrame) -> Da
 
 def load_or_fit(spark: SparkSession, path: str, fit: Callable[[], object]):
     """Saved model at ``path``, or the fitted one, which is then saved."""
-    from pyspark.ml import PipelineModel as Saved
-
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop):
-        return Saved.load(path)
+    if path_exists(spark, path):
+        return PipelineModel.load(path)
     model = PipelineModel([fit()])
     model.write().overwrite().save(path)
     return model

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..functions.scalars import membership_flag, position_tier, threshold_flag
 from ..operators import audit, cleaning, prep
 from ..operators.frame import join_drivers, prepare_results
-from ..operators.models import BEST_SCHEMA
 from ..operators.prep import Preprocessors
 from ..schemas import CIRCUIT, FINAL_FEATURES, ID_COLUMNS, LEAKAGE_REGISTRY, TARGET
 from ..session import scratch_path
@@ -496,7 +495,7 @@ def o2(spark, sf):
     return cells(out, {"year": "year", "round_number": "round_number", "rain_risk": "RainRisk"})
 
 
-@query("o3_predicted_winner", with_parts("ord", "SELECT year, round_number, min_by(dn, (price, dn)) AS winner FROM (SELECT *, row(price, dn) AS k FROM ord) GROUP BY 1, 2".replace("(price, dn)", "k")))
+@query("o3_predicted_winner", with_parts("ord", "SELECT year, round_number, dn AS winner FROM (SELECT *, row_number() OVER (PARTITION BY year, round_number ORDER BY price, dn) AS r FROM ord) WHERE r = 1"))
 def o3(spark, sf):
     """Best score of every race, combined on the map side."""
     df = st.session_results(spark, sf)
@@ -611,6 +610,3 @@ def u6(spark, sf):
     row = unscale(df, fitted.numeric, numeric).agg(*[F.avg(c).alias(c) for c in numeric])
     pairs = F.array(*[F.struct(F.lit(n).alias("column"), F.col(c).alias("mean")) for n, c in (("grid", "GridPosition"), ("lag1", "DriverFinish_lag1"))])
     return tidy(row.select(F.explode(pairs).alias("v")).select("v.*"))
-
-
-__all__ = ["BEST_SCHEMA"]

@@ -8,14 +8,14 @@ from ..functions.scalars import mapped
 from ..operators import frame as fr
 from ..operators import prep
 from ..operators.history import add_history
-from ..operators.ordering import global_rank
+from ..operators.ordering import average_ranks, exact_quantiles, global_rank
 from ..operators.segments import prior_races
-from ..schemas import CATEGORICAL_FEATURES, CIRCUIT, NUMERIC_SCALE_FEATURES, SESSION_KEYS, TARGET
+from ..schemas import CIRCUIT, NUMERIC_SCALE_FEATURES, SESSION_KEYS, TARGET
 from ..session import small_side
 from . import standin as st
 from .catalog import cells, query, tidy
 from .oracle import NUMERIC, masked_lagged, melted, with_parts
-from .features import build_inference_features, drop_from_race, lagged_frame, split_by_season
+from .features import build_features, build_inference_features, drop_from_race, split_by_season
 
 KEYS = {"year": "year", "round_number": "round_number", "driver_number": "DriverNumber", "driver_id": "DriverId"}
 SQL_KEYS = "year, round_number, dn AS driver_number, did AS driver_id"
@@ -201,8 +201,6 @@ def w9(spark, sf):
   FROM orders GROUP BY 1)""",
 )
 def w10(spark, sf):
-    from ..operators.ordering import average_ranks
-
     counts = (
         st._read(spark, sf, "orders")
         .groupBy(F.ceil(F.col("o_totalprice") / F.lit(1000.0)).cast("long").alias("price_k"))
@@ -354,8 +352,6 @@ def _matrix_cols():
 
 @query("fe18_training_matrix", with_parts("filled codes", _MATRIX_SQL))
 def fe18(spark, sf):
-    from .features import build_features
-
     df, _ = build_features(st.tables(spark, sf), test_year=st.TEST_YEAR, **st.LAG_OPTIONS)
     return cells(df, _matrix_cols())
 
@@ -367,8 +363,6 @@ def fe18(spark, sf):
 def fe18b(spark, sf):
     """Medians fitted without the held-out season."""
     df = prep.drop_unplaced(st.race_table(spark, sf)).where(F.col("year") != st.TEST_YEAR)
-    from ..operators.ordering import exact_quantiles
-
     return cells(exact_quantiles(df, NUMERIC_SCALE_FEATURES, {"median": 0.5}), {"column": "column", "median": "median"})
 
 
@@ -481,6 +475,3 @@ def p17(spark, sf):
     hit = (F.col("year") == 2001) & (F.col("round_number") == 5)
     out = st.session_results(spark, sf).withColumn("Position", F.when(~hit, F.col("Position")))
     return cells(out, {"driver_number": "DriverNumber", "race_position": "Position"})
-
-
-__all__ = ["CATEGORICAL_FEATURES", "lagged_frame"]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,6 +48,11 @@ def parse_years(args: Sequence[str]) -> list[int]:
     return sorted(years)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_table(
     spark: SparkSession,
     root: str,
@@ -123,12 +127,10 @@ def load_sources(
     schemas = schemas or {}
     years = None if years is None else sorted(set(years))
     where = f"under {root}" + (f" for years {years}" if years is not None else "")
-    try:
-        found = {
-            t: read_table(spark, root, t, years, schema=schemas.get(t), layout=layout) for t in tables
-        }
-    except AnalysisException as e:
-        raise FileNotFoundError(f"no race-session partitions {where}") from e
+    folders = [root] if layout == "session" else [f"{root}/{t}" for t in tables]
+    if not all(path_exists(spark, f) for f in folders):
+        raise FileNotFoundError(f"no race-session partitions {where}")
+    found = {t: read_table(spark, root, t, years, schema=schemas.get(t), layout=layout) for t in tables}
     if not complete:
         if all(df.isEmpty() for df in found.values()):
             raise FileNotFoundError(f"no race-session partitions {where}")
@@ -151,6 +153,8 @@ def latest_complete_round(tables: dict[str, DataFrame]) -> tuple[int, int]:
 
 def read_landing(spark: SparkSession, root: str, table: str, years: Iterable[int] | None = None) -> DataFrame:
     """Raw rows of a table for all sessions at once."""
+    if not path_exists(spark, f"{root}/{table}"):
+        raise FileNotFoundError(f"nothing landed for {table} under {root}")
     df = spark.read.parquet(f"{root}/{table}")
     return df if years is None else df.where(F.col("year").isin(list(years)))
 
