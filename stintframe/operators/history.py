@@ -23,14 +23,8 @@ from .ordering import running_before
 
 HOT_ROWS = 4_000_000
 
-_POS, _SPREAD, _BLOCK, _OWN, _SEG, _WEIGHT = (
-    "__pos",
-    "__spread",
-    "__block",
-    "__own",
-    "__seg",
-    "__weight",
-)
+_POS, _SPREAD, _BLOCK, _OWN = "__pos", "__spread", "__block", "__own"
+_SEG, _WEIGHT, _TERM = "__seg", "__weight", "__term"
 
 
 def hot_entities(df: DataFrame, entity: str, hot_rows: int = HOT_ROWS) -> list:
@@ -140,26 +134,30 @@ def _ewm(df: DataFrame, keys, ordering, out: str, col: str, span: float) -> Data
     before = Window.partitionBy(*keys).orderBy(_SEG, *ordering).rowsBetween(Window.unboundedPreceding, -1)
     segment = ewm_segment(span)
     df = df.withColumn(_SEG, F.floor(F.col(_POS) / segment))
+    latest = f"__e_{out}"
     if decay <= 0:
-        latest = value
+        df = df.withColumn(latest, value)
     else:
         place = F.col(_POS) - F.col(_SEG) * segment
-        df = df.withColumn(_WEIGHT, F.when(value.isNotNull(), F.pow(F.lit(1.0 / decay), place)))
+        weight = F.when(value.isNotNull(), F.pow(F.lit(1.0 / decay), place))
+        df = df.withColumns({_WEIGHT: weight, _TERM: weight * value})
         within = (
             Window.partitionBy(*keys, _SEG)
             .orderBy(*ordering)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow)
         )
         previous = Window.partitionBy(*keys).orderBy(_SEG).rangeBetween(-1, -1)
-        weight = F.col(_WEIGHT)
+        df = df.withColumns({c + "_in": F.sum(c).over(within) for c in (_WEIGHT, _TERM)})
+        # The total of the segment before is its last running sum; built on the
+        # first window, this one reuses its sort.
+        df = df.withColumns({c + "_back": F.max_by(c + "_in", _POS).over(previous) for c in (_WEIGHT, _TERM)})
 
-        def total(term: Column) -> Column:
-            older = F.coalesce(F.sum(term).over(previous), F.lit(0.0))
-            return F.sum(term).over(within) + older * F.lit(decay**segment)
+        def total(c: str) -> Column:
+            older = F.coalesce(F.col(c + "_back"), F.lit(0.0)) * F.lit(decay**segment)
+            return F.col(c + "_in") + older
 
-        latest = F.when(value.isNotNull(), total(weight * value) / total(weight))
-    df = df.withColumn(f"__e_{out}", latest)
-    return df.withColumn(out, F.last(f"__e_{out}", ignorenulls=True).over(before))
+        df = df.withColumn(latest, F.when(value.isNotNull(), total(_TERM) / total(_WEIGHT)))
+    return df.withColumn(out, F.last(latest, ignorenulls=True).over(before))
 
 
 def _blocked(df: DataFrame, entity: str, order: Sequence[str], spec, block_rows: int) -> DataFrame:

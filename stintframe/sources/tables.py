@@ -24,6 +24,10 @@ from ..session import small_side
 LOAD_MODES = {"ml": ALL_TABLES, "viz": ALL_TABLES}
 
 
+# Columns that exist in the path only; the files carry round_number and session_type.
+PATH_COLUMNS = ["round", "session"]
+
+
 def tables_for_mode(mode: str = "ml") -> list[str]:
     if mode not in LOAD_MODES:
         raise ValueError(f"invalid mode {mode!r}; choose from: {', '.join(sorted(LOAD_MODES))}")
@@ -122,6 +126,8 @@ def load_sources(
 ) -> dict[str, DataFrame]:
     """Race-session tables, restricted to partitions that have all of them.
 
+    The path columns are dropped once they have done their work.
+
     Raises ``FileNotFoundError`` if nothing matches.
     """
     schemas = schemas or {}
@@ -134,12 +140,13 @@ def load_sources(
     if not complete:
         if all(df.isEmpty() for df in found.values()):
             raise FileNotFoundError(f"no race-session partitions {where}")
-        return found
+        return {t: df.drop(*PATH_COLUMNS) for t, df in found.items()}
     keys = small_side(complete_partitions(found))
     if keys.isEmpty():
         raise FileNotFoundError(f"no complete race-session partitions {where}")
     return {
-        t: df.join(keys, ["year", "round", "session"], "left_semi") for t, df in found.items()
+        t: df.join(keys, ["year", *PATH_COLUMNS], "left_semi").drop(*PATH_COLUMNS)
+        for t, df in found.items()
     }
 
 
