@@ -47,8 +47,8 @@ def mapped(col: Column, renames: Mapping[str, str]) -> Column:
     """Value map that leaves unknown values as they are."""
     if not renames:
         return col
-    pairs = F.create_map(*[F.lit(v) for kv in renames.items() for v in kv])
-    return F.coalesce(F.try_element_at(pairs, col), col)
+    old, new = F.lit(list(renames)), F.lit(list(renames.values()))
+    return F.coalesce(F.try_element_at(F.map_from_arrays(old, new), col), col)
 
 
 def significance_marker(p_value: Column) -> Column:

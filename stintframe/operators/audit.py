@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import correlation_p_value, significance_marker
 from ..schemas import LEAKAGE_REGISTRY, quoted
-from ..session import small_side
+from ..session import scratch_path, small_side
 from .metrics import spearman
-from .ordering import exact_quantiles
+from .ordering import average_ranks, exact_quantiles, value_counts
 
 MIN_PAIRS = 30
 HIGH_CORRELATION = 0.85
@@ -150,9 +150,48 @@ def _melt_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pairwise-complete Spearman matrix, upper triangle, as (c1, c2, rho, n)."""
-    melted = _melt_pairs(df, list(combinations(columns, 2)))
-    return spearman(melted, "x", "y", ["c1", "c2"], safe=False).withColumnRenamed("Spearman_rho", "rho")
+    """Pairwise-complete Spearman matrix, upper triangle, as (c1, c2, rho, n).
+
+    Columns without nulls have one ranking for all their pairs, so each is
+    ranked once. Only pairs with a null somewhere need a ranking of their own.
+    """
+    pairs = list(combinations(columns, 2))
+    row = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    full = [c for i, c in enumerate(columns) if row[f"c{i}"] == 0]
+    shared = [p for p in pairs if p[0] in full and p[1] in full]
+    own = [p for p in pairs if p not in shared]
+    parts = []
+    if shared:
+        parts.append(_shared_rank_pairs(df, full, shared))
+    if own:
+        found = spearman(_melt_pairs(df, own), "x", "y", ["c1", "c2"], safe=False)
+        parts.append(found.withColumnRenamed("Spearman_rho", "rho"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _shared_rank_pairs(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """Correlation of ranks for columns without nulls, all pairs in one aggregate."""
+    spark = df.sparkSession
+    names = {c: f"v{i}" for i, c in enumerate(columns)}
+    ranked = df.select(*[F.col(quoted(c)).cast("double").alias(n) for c, n in names.items()])
+    ranks = average_ranks(value_counts(ranked, [], list(names.values())), ["column"], "value")
+    path = scratch_path(spark, "ranks")
+    ranks.select("column", "value", "centred").write.partitionBy("column").parquet(path)
+    stored = spark.read.parquet(path)
+    for n in names.values():
+        one = stored.where(F.col("column") == n).select(F.col("value").alias(n), F.col("centred").alias(f"r{n}"))
+        ranked = ranked.join(one, n).drop(n)
+    sums = ranked.agg(
+        F.count("*").alias("n"),
+        *[F.sum(F.col(f"r{n}") * F.col(f"r{n}")).alias(f"s{n}") for n in names.values()],
+        *[F.sum(F.col(f"r{names[a]}") * F.col(f"r{names[b]}")).alias(f"x{i}") for i, (a, b) in enumerate(pairs)],
+    )
+    cells = []
+    for i, (a, b) in enumerate(pairs):
+        spread = F.sqrt(F.col(f"s{names[a]}") * F.col(f"s{names[b]}"))
+        rho = F.when(spread > 0, F.col(f"x{i}") / spread)
+        cells.append(F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), rho.alias("rho"), F.col("n").alias("n")))
+    return sums.select(F.explode(F.array(*cells)).alias("v")).select("v.*")
 
 
 def high_correlations(pairs: DataFrame, limit: float = HIGH_CORRELATION) -> DataFrame:

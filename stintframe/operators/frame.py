@@ -163,6 +163,7 @@ def add_lag_features(
     key_source: DataFrame | None = None,
     hot_rows: int | None = HOT_ROWS,
     check_boundary: bool = True,
+    starters: DataFrame | None = None,
 ) -> DataFrame:
     """All lag features of drivers and teams.
 
@@ -171,6 +172,9 @@ def add_lag_features(
     """
     team_keys = ["TeamName", "year", "round_number"]
     teams = small_side(team_history(team_race_mean(df), ewm_span, roll_window).drop("TeamAvgPosition"))
+    if starters is not None:
+        listed = small_side(starters.select(F.col("DriverId").alias("__starter")))
+        df = df.join(listed, F.col("DriverId").eqNullSafe(F.col("__starter")), "left_semi")
     out = driver_history(df, ewm_span, roll_window, tie_break, key_source, hot_rows)
     out = out.join(teams, team_keys, "left")
     return guard_season_boundary(out) if check_boundary else out

@@ -25,9 +25,12 @@ def _cols(names: Sequence[str]) -> list[Column]:
 
 
 def range_chunks(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Rows spread by range of ``order``, with a stored chunk number."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *_cols(order))
+    """Rows spread by range of ``order``, with a stored chunk number.
+
+    The number of chunks follows the shuffle partitions; adaptive execution
+    merges neighbours on small tables, which keeps the order.
+    """
+    ranged = df.repartitionByRange(*_cols(order))
     return durable(ranged.withColumn(CHUNK, F.spark_partition_id()))
 
 

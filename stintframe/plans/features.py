@@ -21,19 +21,18 @@ from ..operators.prep import (
     scale,
 )
 from ..schemas import (
-    CATEGORICAL_FEATURES,
     DRIVER_KEYS,
     FEATURE_COLUMNS,
     FINAL_FEATURES,
     ID_COLUMNS,
     NUMERIC_SCALE_FEATURES,
-    TARGET,
     TEAM_RENAMES,
     quoted,
 )
 from ..session import durable
 from ..sources.sinks import write_parquet
-from ..sources.tables import load_sources, read_table
+from ..sources.tables import load_sources
+from .ingest import run_ingestion
 
 RAW_ROUND = "round_raw"
 
@@ -52,8 +51,13 @@ def lagged_frame(
     lap_keys: Iterable[str] = DRIVER_KEYS,
     hot_rows: int | None = HOT_ROWS,
     check_boundary: bool = True,
+    starters: DataFrame | None = None,
 ) -> DataFrame:
-    """Race frame with normalised teams and all lag features."""
+    """Race frame with normalised teams and all lag features.
+
+    With ``starters`` only the drivers listed there keep their history; team
+    form still comes from everybody.
+    """
     frame = race_frame(
         tables["session_info"],
         tables["driver_info"],
@@ -68,6 +72,7 @@ def lagged_frame(
         key_source=tables["driver_info"],
         hot_rows=hot_rows,
         check_boundary=check_boundary,
+        starters=starters,
     )
 
 
@@ -121,7 +126,8 @@ def build_inference_features(
     if results.where(is_target).isEmpty():
         raise ValueError(f"no race data for year={target_year}, round_number={target_round}")
     past["session_results"] = results.withColumn("Position", F.when(~is_target, F.col("Position")))
-    rows = lagged_frame(past, **lag_options).where(is_target)
+    starters = past["driver_info"].where(is_target).select("DriverId").distinct()
+    rows = lagged_frame(past, starters=starters, **lag_options).where(is_target)
     rows = durable(_project(rows, [*ID_COLUMNS, *FINAL_FEATURES]))
     coded = encode(rows, preprocessors.encoders, strict=True)
     missing = null_report(coded, NUMERIC_SCALE_FEATURES).where("nulls > 0").collect()
@@ -169,15 +175,28 @@ def split_train_test(spark: SparkSession, features_path: str, out_dir: str, *, t
     return spark.read.parquet(f"{out_dir}/train"), spark.read.parquet(f"{out_dir}/test")
 
 
-__all__ = [
-    "CATEGORICAL_FEATURES",
-    "TARGET",
-    "build_features",
-    "build_inference_features",
-    "drop_from_race",
-    "lagged_frame",
-    "read_table",
-    "run_feature_engineering",
-    "split_by_season",
-    "split_train_test",
-]
+def run_modules(
+    spark: SparkSession,
+    landing_root: str,
+    output_root: str,
+    *,
+    years: Iterable[int] | None = None,
+    module: str = "all",
+    test_year: int = 2025,
+    **options,
+) -> None:
+    """Ingestion (``data``), features and split (``fe``), or both (``all``)."""
+    if module not in ("data", "fe", "all"):
+        raise ValueError(f"invalid module {module!r}; choose from: all, data, fe")
+    if module in ("data", "all"):
+        run_ingestion(spark, landing_root, output_root, years)
+    if module in ("fe", "all"):
+        path = run_feature_engineering(
+            spark,
+            output_root,
+            f"{output_root}/features",
+            years=years,
+            preprocessors_path=f"{output_root}/features_preprocessors",
+            **options,
+        )
+        split_train_test(spark, path, output_root, test_year=test_year)

@@ -228,6 +228,24 @@ def a21(spark, sf):
     return tidy(audit.spearman_pairs(_tied(spark, sf), [c for c, _ in _PAIRS]))
 
 
+_FULL_SQL = " UNION ALL ".join(
+    f"SELECT '{a}' AS c1, '{b}' AS c2, rho, n FROM ({spearman_sql('filled', f'round({x}, 6)', f'round({y}, 6)')})"
+    for a, x, b, y in (
+        ("GridPosition", "grid", "DriverFinish_ewm", "ewm"),
+        ("GridPosition", "grid", "DriverFinish_roll3_inseason", "roll"),
+        ("DriverFinish_ewm", "ewm", "DriverFinish_roll3_inseason", "roll"),
+    )
+)
+
+
+@query("a21b_spearman_matrix_complete", with_parts("filled", f"SELECT c1, c2, round(rho, 6) + 0e0 AS rho, n FROM ({_FULL_SQL})"))
+def a21b(spark, sf):
+    """Imputed columns have no nulls and are ranked once each."""
+    df, fitted = st.matrix(spark, sf)
+    raw = unscale(df, fitted.numeric, list(_WEIGHTS))
+    return tidy(audit.spearman_pairs(raw.select(*[F.round(c, 6).alias(c) for c in _WEIGHTS]), list(_WEIGHTS)))
+
+
 @query("m19_high_correlations", with_parts("lagged", f"SELECT c1, c2, round(rho, 6) AS rho, n FROM ({_PAIR_SQL}) WHERE abs(rho) > 0.3"))
 def m19(spark, sf):
     pairs = audit.spearman_pairs(_tied(spark, sf), [c for c, _ in _PAIRS])

@@ -22,6 +22,8 @@ def local_session(cpus: int | str = 8, name: str = "stintframe") -> SparkSession
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Call-site capture for every column expression slows plan building.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 

@@ -19,6 +19,8 @@ def spark():
     session = local_session(4, "tests")
     session.sparkContext.setLogLevel("ERROR")
     session.conf.set("spark.sql.shuffle.partitions", "4")
+    # Small test tables would otherwise end up in a single range chunk.
+    session.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     yield session
 
 

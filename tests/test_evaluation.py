@@ -146,6 +146,17 @@ def test_spearman_matrix_is_pairwise_complete(wide):
     assert rows(high, "c1", "c2") == [("a", "b")]
 
 
+def test_spearman_matrix_of_complete_columns(wide):
+    pdf, df = wide
+    got = {(r.c1, r.c2): r for r in audit.spearman_pairs(df.withColumn("k", F.lit(1)), ["a", "b", "y", "k"]).collect()}
+    assert len(got) == 6
+    for (i, j), r in got.items():
+        if j == "k":
+            assert r.rho is None
+        else:
+            assert r.n == 500 and r.rho == pytest.approx(pandas_spearman(pdf[i], pdf[j]))
+
+
 def test_target_correlations(spark, wide):
     pdf, df = wide
     few = df.withColumn("few", F.when(F.monotonically_increasing_id() < 5, F.col("a")))

@@ -6,6 +6,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from stintframe.operators.frame import add_lag_features, season_leaks, team_history, team_race_mean
 from stintframe.operators.history import add_history, hot_entities
@@ -13,6 +14,7 @@ from stintframe.operators.ordering import (
     average_ranks,
     exact_quantiles,
     global_rank,
+    range_chunks,
     running_before,
     sorted_codes,
 )
@@ -140,6 +142,12 @@ def test_prior_races(spark, race):
 # ---- ordering ---------------------------------------------------------------
 
 
+def test_chunks_are_ordered_ranges(spark):
+    out = range_chunks(spark.range(1000).selectExpr("pmod(hash(id), 500) as v"), ["v"])
+    bounds = rows(out.groupBy("__chunk").agg(F.min("v").alias("lo"), F.max("v").alias("hi")), "__chunk", "lo", "hi")
+    assert len(bounds) > 1 and all(a[2] < b[1] for a, b in zip(bounds, bounds[1:]))
+
+
 def test_running_sums_over_chunks(spark):
     df = spark.range(1000).selectExpr("id % 3 as g", "id", "id % 7 as w")
     got = running_before(df, ["g"], ["id"], "w").toPandas().sort_values(["g", "id"])

@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stintframe.plans.features import run_feature_engineering, split_train_test
+from stintframe.plans.features import run_feature_engineering, run_modules, split_train_test
 from stintframe.plans.ingest import run_ingestion
 from stintframe.sources import sinks, tables
 
@@ -136,6 +136,30 @@ def test_feature_run_and_split(spark, clean_root, tmp_path):
     assert (tmp_path / "prep" / "encoders").is_dir() and (tmp_path / "prep" / "numeric_params").is_dir()
 
 
+def test_modules_end_to_end(spark, clean_root, tmp_path):
+    """Ingestion of raw rows, features and split in one call."""
+    land, out = str(tmp_path / "in"), str(tmp_path / "out")
+    keys = "year, CAST(round_number AS int) AS round_number, session_type"
+    for t in ("session_results", "laps"):
+        raw = tables.read_table(spark, clean_root, t).drop(*tables.PATH_COLUMNS)
+        durations = [c for c in ("LapTime", "PitInTime") if c in raw.columns]
+        raw = raw.withColumns({c: (F.col(c) * 1e9).cast("long") for c in durations}).withColumn("DriverNumber", F.col("DriverNumber").cast("string"))
+        sinks.write_parquet(raw, f"{land}/{t}")
+    info = tables.read_table(spark, clean_root, "session_info")
+    record = F.to_json(F.struct(F.struct(F.struct(F.col("`Meeting.Circuit.ShortName`").alias("ShortName")).alias("Circuit")).alias("Meeting")))
+    sinks.write_parquet(info.withColumn("session_info", record).selectExpr(*keys.split(", "), "session_info"), f"{land}/session_info")
+    drivers = tables.read_table(spark, clean_root, "driver_info")
+    one = F.to_json(F.array(F.struct(F.col("DriverNumber").cast("string").alias("DriverNumber"), "DriverId", "TeamName")))
+    sinks.write_parquet(drivers.withColumn("drivers", one).selectExpr(*keys.split(", "), "drivers"), f"{land}/driver_info")
+    run_modules(spark, land, out, years=[2024, 2025])
+    train, test = spark.read.parquet(f"{out}/train"), spark.read.parquet(f"{out}/test")
+    assert train.count() == 6 and test.count() == 6
+    want = tables.load_sources(spark, clean_root)["laps"].select("LapTime", "DriverNumber")
+    assert sorted(tables.load_sources(spark, out)["laps"].select("LapTime", "DriverNumber").collect()) == sorted(want.collect())
+    with pytest.raises(ValueError, match="all, data, fe"):
+        run_modules(spark, land, out, module="x")
+
+
 def test_split_takes_later_seasons_into_training(spark):
     from stintframe.plans.features import split_by_season
 
