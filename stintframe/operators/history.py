@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..schemas import quoted
 from ..session import durable
@@ -78,10 +79,12 @@ def add_history(
     if not hot:
         return _plain(df, entity, order, spec).select(*_quoted(columns))
     df = durable(df)
-    is_hot = F.coalesce(key.isin(hot), F.lit(False))
-    cold = _plain(df.where(~is_hot), entity, order, spec).select(*_quoted(columns))
-    split = _blocked(df.where(is_hot), entity, order, spec, hot_rows).select(*_quoted(columns))
-    return cold.unionByName(split)
+    listed = T.StructType([T.StructField("__hot", df.schema[entity].dataType)])
+    listed = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], listed))
+    is_hot = key == F.col("__hot")
+    cold = _plain(df.join(listed, is_hot, "left_anti"), entity, order, spec)
+    split = _blocked(df.join(listed, is_hot, "left_semi"), entity, order, spec, hot_rows)
+    return cold.select(*_quoted(columns)).unionByName(split.select(*_quoted(columns)))
 
 
 def _quoted(names: Sequence[str]) -> list[Column]:

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import year_label
 from ..schemas import FINAL_FEATURES, TARGET, quoted
+from ..session import durable
 from ..sources.tables import path_exists
 from .metrics import METRICS, mean_absolute_error, score
 
@@ -138,7 +139,8 @@ def cross_validate(data: DataFrame, make_model: MakeModel, label: str = TARGET,
     with ThreadPool(parallel) as pool:
         parts = pool.map(run, range(1, len(years)))
     keys = ["fold", "train_years", "val_year"]
-    return score(reduce(DataFrame.unionByName, parts), "actual", "prediction", keys).orderBy("fold")
+    scored = durable(reduce(DataFrame.unionByName, parts))  # each metric reads it
+    return score(scored, "actual", "prediction", keys).orderBy("fold")
 
 
 def fit_and_score(train: DataFrame, test: DataFrame, make_model: MakeModel, name: str, label: str = TARGET) -> DataFrame:
@@ -150,7 +152,8 @@ def fit_and_score(train: DataFrame, test: DataFrame, make_model: MakeModel, name
         )
         for where, part in (("train", train), ("test", test))
     ]
-    return score(parts[0].unionByName(parts[1]), "actual", "prediction", ["model", "dataset"])
+    scored = durable(parts[0].unionByName(parts[1]))
+    return score(scored, "actual", "prediction", ["model", "dataset"])
 
 
 def feature_importance(model, features: Sequence[str], spark: SparkSession) -> DataFrame:

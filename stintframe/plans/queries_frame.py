@@ -150,6 +150,13 @@ def w4b(spark, sf):
     return cells(out, {"driver_number": "DriverNumber", "lag1": "lag1", "roll3": "roll3", "ewm5": "ewm5"})
 
 
+@query("w3b_rolling_in_blocks", with_parts("lagged", f"SELECT dn AS driver_number, lag1, {_rounded('roll3=roll')} FROM lagged"))
+def w3b(spark, sf):
+    """Histories of more than five starts, cut into blocks of five."""
+    out = add_history(_starts(spark, sf), "DriverId", _ORDER, lags={"lag1": TARGET}, rolls={"roll3": (TARGET, 3)}, key_source=st.driver_keys(spark, sf), hot_rows=5)
+    return cells(out, {"driver_number": "DriverNumber", "lag1": "lag1", "roll3": "roll3"})
+
+
 @query("w5_team_ewm", with_parts("team_hist", f"SELECT team, year, round_number, {_rounded('team_ewm=team_ewm')} FROM team_hist"))
 def w5(spark, sf):
     out = add_history(fr.team_race_mean(_team_frame(spark, sf)), "TeamName", ["year", "round_number"], ewms={"team_ewm": ("TeamAvgPosition", 5)}, hot_rows=None)

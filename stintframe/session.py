@@ -24,6 +24,7 @@ def local_session(cpus: int | str = 8, name: str = "stintframe") -> SparkSession
         .config("spark.ui.enabled", "false")
         # Call-site capture for every column expression slows plan building.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
