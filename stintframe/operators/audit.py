@@ -81,8 +81,8 @@ def box_statistics(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles and 1.5 IQR whisker ends (furthest value inside the fences)."""
     q = exact_quantiles(df, [column], {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by])
     iqr = F.col("q3") - F.col("q1")
-    fences = q.select(by, "q1", "median", "q3", (F.col("q1") - 1.5 * iqr).alias("__low"), (F.col("q3") + 1.5 * iqr).alias("__high"))
-    fences = small_side(fences)
+    low, high = F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr
+    fences = small_side(q.select(by, "q1", "median", "q3", low.alias("__low"), high.alias("__high")))
     value = F.col("__value")
     counts = (
         df.select(by, F.col(quoted(column)).cast("double").alias("__value"))

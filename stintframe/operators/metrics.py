@@ -33,7 +33,11 @@ def spearman(df: DataFrame, x: str, y: str, by: Sequence[str] = (), safe: bool =
     """
     df, keys = _grouped(df, by)
     pairs = durable(
-        df.select(*[F.col(quoted(k)) for k in keys], F.col(quoted(x)).cast("double").alias("x"), F.col(quoted(y)).cast("double").alias("y"))
+        df.select(
+            *[F.col(quoted(k)) for k in keys],
+            F.col(quoted(x)).cast("double").alias("x"),
+            F.col(quoted(y)).cast("double").alias("y"),
+        )
         .where("x is not null and y is not null")
         .groupBy(*keys, "x", "y")
         .agg(F.count("*").alias("n"))
@@ -140,6 +144,11 @@ def best_and_worst(df: DataFrame, error: str, columns: Sequence[str]) -> DataFra
     high = F.max(F.struct(F.col(error), row.alias("row")))
     both = df.agg(low.alias("best"), high.alias("worst"))
     labelled = F.array(
-        *[F.struct(F.lit(k).alias("kind"), F.col(f"{k}.{error}").alias(error), F.col(f"{k}.row").alias("row")) for k in ("best", "worst")]
+        *[
+            F.struct(
+                F.lit(k).alias("kind"), F.col(f"{k}.{error}").alias(error), F.col(f"{k}.row").alias("row")
+            )
+            for k in ("best", "worst")
+        ]
     )
     return both.select(F.explode(labelled).alias("v")).select("v.kind", f"v.{error}", "v.row.*")

@@ -67,14 +67,18 @@ def model_input(df: DataFrame, features: Sequence[str] = FINAL_FEATURES) -> Data
     return VectorAssembler(inputCols=names, outputCol="features").transform(df.withColumns(extra)).drop(*extra)
 
 
-def random_forest(trees: int = 100, max_depth: int = 30, seed: int = 42, label: str = TARGET, **extra) -> RandomForestRegressor:
+def random_forest(
+    trees: int = 100, max_depth: int = 30, seed: int = 42, label: str = TARGET, **extra
+) -> RandomForestRegressor:
     """Bagged regression trees that may use every feature at each split."""
     return RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="all", seed=seed, **extra
     )
 
 
-def boosted_trees(params: dict | None = None, seed: int = 42, label: str = TARGET, max_iter: int | None = None) -> GBTRegressor:
+def boosted_trees(
+    params: dict | None = None, seed: int = 42, label: str = TARGET, max_iter: int | None = None
+) -> GBTRegressor:
     """Gradient boosting from study parameters.
 
     Tree count, depth, step, leaf size, row and column sampling carry over; the
@@ -143,12 +147,14 @@ def cross_validate(data: DataFrame, make_model: MakeModel, label: str = TARGET,
     return score(scored, "actual", "prediction", keys).orderBy("fold")
 
 
-def fit_and_score(train: DataFrame, test: DataFrame, make_model: MakeModel, name: str, label: str = TARGET) -> DataFrame:
-    """Scores of one model on its training rows and on the held-out rows."""
-    model = make_model().fit(train)
+def score_model(model, train: DataFrame, test: DataFrame, name: str, label: str = TARGET) -> DataFrame:
+    """Scores of a fitted model on its training rows and on the held-out rows."""
     parts = [
         model.transform(part).select(
-            F.lit(name).alias("model"), F.lit(where).alias("dataset"), F.col(quoted(label)).alias("actual"), "prediction"
+            F.lit(name).alias("model"),
+            F.lit(where).alias("dataset"),
+            F.col(quoted(label)).alias("actual"),
+            "prediction",
         )
         for where, part in (("train", train), ("test", test))
     ]
@@ -156,6 +162,10 @@ def fit_and_score(train: DataFrame, test: DataFrame, make_model: MakeModel, name
     return score(scored, "actual", "prediction", ["model", "dataset"])
 
 
+def fit_and_score(train: DataFrame, test: DataFrame, make_model: MakeModel, name: str, label: str = TARGET) -> DataFrame:
+    return score_model(make_model().fit(train), train, test, name, label)
+
+
 def feature_importance(model, features: Sequence[str], spark: SparkSession) -> DataFrame:
     rows = list(zip(features, (float(v) for v in model.featureImportances.toArray())))
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")

@@ -29,7 +29,7 @@ from ..schemas import (
     TEAM_RENAMES,
     quoted,
 )
-from ..session import durable
+from ..session import durable, small_side
 from ..sources.sinks import write_parquet
 from ..sources.tables import load_sources
 from .ingest import run_ingestion
@@ -55,14 +55,21 @@ def lagged_frame(
 ) -> DataFrame:
     """Race frame with normalised teams and all lag features.
 
-    With ``starters`` only the drivers listed there keep their history; team
-    form still comes from everybody.
+    With ``starters`` only the drivers listed there keep their history, and only
+    their laps are aggregated; team form still comes from everybody.
     """
+    laps = tables["laps"]
+    if starters is not None:
+        starters = small_side(starters.select("DriverId"))
+        same = F.col("DriverId").eqNullSafe(F.col("__starter"))
+        listed = starters.withColumnRenamed("DriverId", "__starter")
+        entries = tables["driver_info"].join(listed, same, "left_semi").select(*lap_keys).distinct()
+        laps = laps.join(small_side(entries), list(lap_keys), "left_semi")
     frame = race_frame(
         tables["session_info"],
         tables["driver_info"],
         tables["session_results"],
-        tables["laps"],
+        laps,
         lap_keys=list(lap_keys),
     )
     return add_lag_features(

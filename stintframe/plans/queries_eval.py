@@ -10,7 +10,7 @@ from ..functions.scalars import experience_flag, membership_flag, position_tier,
 from ..operators import audit, explain, metrics, models
 from ..operators.frame import weather_summary
 from ..operators.metrics import METRICS
-from ..operators.ordering import exact_quantiles, global_rank, sorted_codes
+from ..operators.ordering import exact_quantiles, sorted_codes
 from ..operators.prep import as_classes, drop_unplaced, fit_numeric, null_report, rows_with_nulls, unscale
 from ..operators.segments import prior_races, segment_summary
 from ..schemas import CIRCUIT, FINAL_FEATURES, NUMERIC_SCALE_FEATURES, TARGET
@@ -18,8 +18,10 @@ from ..session import durable, scratch_path, small_side
 from ..sources import sinks
 from . import standin as st
 from .catalog import cells, query, tidy
-from .features import build_inference_features, drop_from_race, split_by_season
+from .features import split_by_season
+from .inference import fit_before_race, predict_race
 from .oracle import melted, spearman_sql, with_parts
+from .reports import error_frame, error_segments
 
 # Rows scored by a simple rule: the driver's recent form predicts the finish.
 # Rounded, so that equal values tie in both engines.
@@ -582,14 +584,32 @@ def m20b(spark, sf):
 @query("m22_race_prediction")
 def m22(spark, sf):
     """One race end to end: guard, fit, features, scores, ranks, names, actuals."""
+    _, fitted = st.matrix(spark, sf)
+    train = st.matrix(spark, sf)[0]
+    model = fit_before_race(train, st.TEST_YEAR, 5, _boosted)
+    out = predict_race(st.tables(spark, sf), model, fitted, st.TEST_YEAR, 5, **st.LAG_OPTIONS)
+    return tidy(out)
+
+
+@query(
+    "m23_error_report",
+    with_parts(
+        "filled wx",
+        f"""SELECT "group", count(*) AS n, segment FROM (
+  SELECT 'circuit_type' AS segment, CASE WHEN circuit IN ({_STREET}) THEN 'Street' ELSE 'Permanent' END AS "group" FROM an
+  UNION ALL SELECT 'rain_gt_0', CASE WHEN "RainRisk" > 0e0 THEN 'Rain' ELSE 'Dry' END FROM an
+  UNION ALL SELECT 'rain_gt_0.05', CASE WHEN "RainRisk" > 0.05e0 THEN 'Rain' ELSE 'Dry' END FROM an
+  UNION ALL SELECT 'experience', CASE WHEN prior < 22 THEN 'Rookie' ELSE 'Veteran' END FROM an
+  UNION ALL SELECT 'position_tier', CASE WHEN pos <= 3 THEN 'Podium (1-3)' WHEN pos <= 10 THEN 'Points (4-10)' WHEN pos <= 15 THEN 'Midfield (11-15)' ELSE 'Back (16-20)' END FROM an)
+GROUP BY 1, 3""",
+        extra="""h AS (SELECT *, row_number() OVER (PARTITION BY did ORDER BY year, raw_round, dn) - 1 AS prior FROM filled),
+an AS (SELECT h.*, w."RainRisk" FROM h LEFT JOIN wx w ON w.year = h.year AND w.round_number = h.raw_round WHERE h.year = 2001)""",
+    ),
+)
+def m23(spark, sf):
+    """Segments of a scored season, rebuilt from the standardised matrix."""
     matrix, fitted = st.matrix(spark, sf)
-    rows = drop_from_race(_model_rows(spark, sf), st.TEST_YEAR, 5)
-    model = _boosted().fit(rows)
-    tables = st.tables(spark, sf)
-    race = build_inference_features(tables, st.TEST_YEAR, 5, fitted, strict=False, **st.LAG_OPTIONS)
-    scored = model.transform(models.model_input(race)).select("DriverId", "DriverNumber", "prediction")
-    ranked = global_rank(scored, ["prediction", "DriverNumber"], out="predicted_rank")
-    actual = tables["session_results"].select("DriverNumber", F.col("Position").alias("actual"))
-    names = tables["driver_info"].select("DriverNumber", "FullName", F.col("TeamName").alias("TeamName_raw"))
-    out = ranked.join(names, "DriverNumber", "left").join(actual, "DriverNumber", "left")
-    return tidy(out.orderBy("predicted_rank"))
+    train, test = split_by_season(matrix, st.TEST_YEAR)
+    scored = test.withColumn("prediction", F.col("DriverFinish_ewm") + 10)
+    analysis = error_frame(train, scored, fitted, st.weather(spark, sf), st.TEST_YEAR)
+    return tidy(error_segments(analysis, street=st.STREET).select("group", "n", "segment"))

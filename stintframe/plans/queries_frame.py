@@ -420,7 +420,7 @@ def fe21(spark, sf):
 def j6(spark, sf):
     df, _ = st.matrix(spark, sf)
     names = st.driver_info(spark, sf).select("DriverId", "FullName", F.col("TeamName").alias("TeamName_raw")).distinct()
-    out = df.select("DriverNumber", "DriverId", TARGET).join(names, "DriverId", "left")
+    out = df.select("DriverNumber", "DriverId", TARGET).join(small_side(names), "DriverId", "left")
     return cells(out, {"driver_number": "DriverNumber", "prediction": TARGET, "full_name": "FullName", "team_raw": "TeamName_raw"})
 
 
