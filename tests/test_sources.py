@@ -74,6 +74,26 @@ def test_session_folder_layout(spark, tmp_path):
     assert {r["round_number"]: r["Compound"] for r in df.collect()} == {1: None, 2: "SOFT"}
 
 
+def test_sources_from_session_folders(spark, clean_root, tmp_path):
+    """Whole load from the one-file-per-session layout; a session without laps is left out."""
+    for t in tables.CORE_TABLES:
+        frame = tables.read_table(spark, clean_root, t).drop(*tables.PATH_COLUMNS).toPandas()
+        for (y, r), part in frame.groupby(["year", "round_number"]):
+            folder = tmp_path / f"year={y}" / f"round={r:02d}" / "session=R"
+            folder.mkdir(parents=True, exist_ok=True)
+            if not (t == "laps" and (y, r) == (2025, 3)):
+                kept = part.dropna(axis=1, how="all").astype({"round_number": "int8"})
+                if "DriverNumber" in kept:
+                    kept = kept.astype({"DriverNumber": "int8"})
+                kept.to_parquet(folder / f"{t}.parquet", index=False)
+    found = tables.load_sources(spark, str(tmp_path), layout="session")
+    assert [found[t].count() for t in tables.CORE_TABLES] == [5, 10, 10, 20]
+    raw = {t: tables.read_table(spark, str(tmp_path), t, layout="session") for t in tables.CORE_TABLES}
+    assert tables.latest_complete_round(raw) == (2025, 2)
+    path = run_feature_engineering(spark, str(tmp_path), str(tmp_path / "out" / "features"), layout="session", years=[2024])
+    assert spark.read.parquet(path).count() == 6
+
+
 def test_sink_layout_round_trip_and_replacement(spark, clean_root, tmp_path):
     df = tables.read_table(spark, clean_root, "session_results").drop("round", "session")
     path = sinks.write_table(df, str(tmp_path), "session_results")
