@@ -34,7 +34,8 @@ from .hashing import mix, shingles, words
 
 WORDS = 4
 PERCENT = 85
-BITS = 1024
+#: Bitmaps have at least two bits per shingle, a power of two, this many at least.
+LEAST_BITS = 512
 #: A token is common when one of so many documents holds it, and at least MANY.
 ONE_OF, MANY = 1000, 16
 #: Bits of the filter that tells which sets are needed again.
@@ -55,6 +56,21 @@ def set_id(tokens: np.ndarray) -> int:
     return int(mix(np.array([total], np.uint64)).view(np.int64)[0])
 
 
+def bitmap(tokens: np.ndarray) -> bytes:
+    width = max(LEAST_BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
+    marks = np.zeros(width, np.uint8)
+    marks[(tokens >> np.uint64(20)).astype(np.int64) & (width - 1)] = 1
+    return np.packbits(marks).tobytes()
+
+
+def folded(rows: np.ndarray, words: int) -> np.ndarray:
+    """Bitmaps (a row of words each) as those of a smaller width: halves laid over each other."""
+    while rows.shape[-1] > words:
+        half = rows.shape[-1] // 2
+        rows = rows[..., :half] | rows[..., half:]
+    return rows
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-percent * n // 100) + 1
 
@@ -92,9 +108,7 @@ def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataF
                 ids.append(set_id(tokens))
                 heads.append(head)
                 lengths.append(lengths[-1] + len(head))
-                marks = np.zeros(BITS, np.uint8)
-                marks[(tokens >> np.uint64(20)).astype(np.int64) % BITS] = 1
-                bits.append(np.packbits(marks).tobytes())
+                bits.append(bitmap(tokens))
             flat = np.concatenate(heads).view(np.int64) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -167,9 +181,9 @@ def near_sizes(a: str, b: str, percent: int):
 
 
 def leader_pairs(tiled: DataFrame, percent: int) -> DataFrame:
-    """At most three pairs per class: with the leaders it shares the most tiles with."""
+    """At most two pairs per class: with the leaders it shares the most tiles with."""
     out = None
-    for turn in range(3):
+    for turn in range(2):
         order = F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "n")
         leaders = tiled.groupBy("tile").agg(F.min(order).alias("leader"))
         pairs = (
@@ -244,6 +258,37 @@ def linked(pairs: DataFrame, arrays: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
+def most_common(n: np.ndarray, m: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Upper bound of the overlap of sets of sizes n and m with bitmaps x and y (a row of words each)."""
+    words = min(x.shape[-1], y.shape[-1])
+    x, y = folded(x, words), folded(y, words)
+    missing = np.bitwise_count(x & ~y).sum(-1).astype(np.int64)
+    extra = np.bitwise_count(y & ~x).sum(-1).astype(np.int64)
+    return np.minimum(n - missing, m - extra)
+
+
+def possible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that the bitmaps allow; marks: (sid, n, bits)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            x, y = ([np.frombuffer(v, np.uint64) for v in batch.column(c).to_pylist()] for c in ("x", "y"))
+            most = np.array([int(most_common(*v)) for v in zip(n, m, x, y)], np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(100 * most >= percent * (n + m - most), pa.bool_()))
+
+    left = marks.select(F.col("sid").alias("a"), "n", F.col("bits").alias("x"))
+    right = marks.select(F.col("sid").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "n", "m", "x", "y")
+    return both.mapInArrow(run, "a long, b long")
+
+
+def verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
+    """The links among stored candidate pairs; arrays are made for their members only."""
+    members = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
+    return stored(linked(pairs, arrays_of(docs, k, members), percent), "links")
+
+
 def banded_pairs(tiled: DataFrame, percent: int) -> DataFrame:
     """Pairs of unlike roots in a tile that sizes and bitmaps allow; tiled: (tile, sid, n, root, bits)."""
 
@@ -254,23 +299,28 @@ def banded_pairs(tiled: DataFrame, percent: int) -> DataFrame:
             return
         table = pa.Table.from_batches(parts)
         tile, sid, n, root = (table.column(c).to_numpy() for c in ("tile", "sid", "n", "root"))
-        bits = np.frombuffer(b"".join(table.column("bits").to_pylist()), np.uint64).reshape(len(tile), -1)
         order = np.lexsort((n, tile))
-        tile, sid, n, root, bits = tile[order], sid[order], n[order], root[order], bits[order]
+        bits = table.column("bits").to_pylist()
+        bits = [bits[k] for k in order]
+        tile, sid, n, root = tile[order], sid[order], n[order], root[order]
+        width = np.array([len(x) // 8 for x in bits], np.int64)
         bounds = _runs(tile)
         for lo, hi in zip(bounds[:-1], bounds[1:]):
-            # Sorted by size: the band of row i ends where sizes exceed n / 0.85.
+            # Sorted by size, so rows of one bitmap width are neighbours.
+            edges = lo + _runs(width[lo:hi])
+            parts = [(s, np.frombuffer(b"".join(bits[s:e]), np.uint64).reshape(e - s, -1)) for s, e in zip(edges[:-1], edges[1:])]
+            # The band of row i ends where sizes exceed n / 0.85.
             ends = np.searchsorted(n[lo:hi], n[lo:hi] * 100 // percent, side="right") + lo
-            for i in range(lo, hi - 1):
-                j = np.arange(i + 1, ends[i - lo])
-                j = j[root[j] != root[i]]
-                if not len(j):
-                    continue
-                missing = np.bitwise_count(bits[i] & ~bits[j]).sum(1).astype(np.int64)
-                extra = np.bitwise_count(bits[j] & ~bits[i]).sum(1).astype(np.int64)
-                most = np.minimum(n[i] - missing, n[j] - extra)
-                j = j[100 * most >= percent * (n[i] + n[j] - most)]
-                rows.append((np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])))
+            for begin, rows_of_width in parts:
+                for i in range(begin, begin + len(rows_of_width)):
+                    for first, others in parts:
+                        j = np.arange(max(i + 1, first), min(ends[i - lo], first + len(others)))
+                        j = j[root[j] != root[i]]
+                        if not len(j):
+                            continue
+                        most = most_common(n[i], n[j], rows_of_width[i - begin], others[j - first])
+                        j = j[100 * most >= percent * (n[i] + n[j] - most)]
+                        rows.append((np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])))
         if rows:
             a, b = (np.concatenate(c) for c in zip(*rows))
             pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.stack([a, b])
@@ -288,15 +338,13 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     sets = stored(prefixes(rows, k, percent, common), "sets")
     filled = sets.where("n > 0")
     tiled = stored(tiles(filled), "tiles")
-    members = tiled.select("sid").distinct()
-    arrays = stored(arrays_of(rows, k, members), "arrays")
-    first = stored(linked(leader_pairs(tiled, percent), arrays, percent), "links")
+    marks = filled.groupBy("sid").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits"))
+    first = verified(rows, k, stored(possible(leader_pairs(tiled, percent), marks, percent), "pairs"), percent)
     roots = components(first)
     rooted = tiled.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
     open_tiles = rooted.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("tile")
-    marks = filled.groupBy("sid").agg(F.any_value("bits").alias("bits"))
-    rest = rooted.join(open_tiles, "tile", "left_semi").join(marks, "sid")
-    second = linked(banded_pairs(rest, percent), arrays, percent)
+    rest = rooted.join(open_tiles, "tile", "left_semi").join(marks.drop("n"), "sid")
+    second = verified(rows, k, stored(banded_pairs(rest, percent), "pairs"), percent)
     final = components(first.unionByName(second))
     classed = sets.select("doc_id", "n", "sid").join(final.withColumnRenamed("node", "sid"), "sid", "left")
     # An empty set is a class of its own: its key is its document.
