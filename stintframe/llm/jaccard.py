@@ -10,9 +10,9 @@
    size band that 0.85 allows, by hashed bitmaps: bits of one set missing in the
    other bound their overlap from above. Surviving pairs go to an exact
    intersection of the sorted hash arrays.
-4. Members of a large group of near copies are first held against a few leaders;
-   pairs that are connected already need no comparison, since only the component
-   counts. All other pairs of a tile are compared.
+4. Members of a tile are first held against leaders, in a few rounds; classes that
+   are connected already need no comparison, since only the component counts. At
+   the end all pairs of unlike components in a tile are compared.
 
 A null or empty text has an empty set and is linked with nothing. A text with
 fewer than four words has its whole word sequence as the one shingle. Repeated
@@ -34,8 +34,10 @@ from .hashing import mix, shingles, words
 
 WORDS = 4
 PERCENT = 85
-#: Bitmaps have at least two bits per shingle, a power of two, this many at least.
-LEAST_BITS = 512
+#: Bitmaps have at least eight bits per shingle, a power of two, this many at least.
+LEAST_BITS = 1024
+#: Rounds against leaders before all pairs of unlike components are compared.
+ROUNDS = 3
 #: A token is common when one of so many documents holds it, and at least MANY.
 ONE_OF, MANY = 1000, 16
 #: Bits of the filter that tells which sets are needed again.
@@ -57,7 +59,7 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    width = max(LEAST_BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
+    width = max(LEAST_BITS, 1 << (8 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
     marks = np.zeros(width, np.uint8)
     marks[(tokens >> np.uint64(20)).astype(np.int64) & (width - 1)] = 1
     return np.packbits(marks).tobytes()
@@ -180,24 +182,24 @@ def near_sizes(a: str, b: str, percent: int):
     return (100 * F.least(F.col(a), F.col(b))) >= (percent * F.greatest(F.col(a), F.col(b)))
 
 
-def leader_pairs(tiled: DataFrame, percent: int) -> DataFrame:
-    """At most two pairs per class: with the leaders it shares the most tiles with."""
-    out = None
-    for turn in range(2):
-        order = F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "n")
-        leaders = tiled.groupBy("tile").agg(F.min(order).alias("leader"))
-        pairs = (
-            tiled.join(leaders, "tile")
-            .select("sid", "n", F.col("leader.sid").alias("with"), F.col("leader.n").alias("m"))
-            .where((F.col("sid") != F.col("with")) & near_sizes("n", "m", percent))
-            .groupBy("sid", "with")
-            .agg(F.count("*").alias("shared"))
-            .groupBy("sid")
-            .agg(F.max(F.struct("shared", "with")).alias("best"))
-            .select(F.least("sid", "best.with").alias("a"), F.greatest("sid", "best.with").alias("b"))
-        )
-        out = pairs if out is None else out.unionByName(pairs)
-    return out.distinct()
+def leader_pairs(tiled: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Per class the leader of unlike root that it shares the most tiles with; tiled: (tile, sid, n, root).
+
+    Leaders are drawn anew each turn, by a hash.
+    """
+    order = F.struct(F.xxhash64("sid", F.lit(turn)), "sid", "n", "root")
+    leaders = tiled.groupBy("tile").agg(F.min(order).alias("leader"))
+    return (
+        tiled.join(leaders, "tile")
+        .select("sid", "n", "root", F.col("leader.sid").alias("with"), F.col("leader.n").alias("m"), F.col("leader.root").alias("r"))
+        .where((F.col("root") != F.col("r")) & near_sizes("n", "m", percent))
+        .groupBy("sid", "with")
+        .agg(F.count("*").alias("shared"))
+        .groupBy("sid")
+        .agg(F.max(F.struct("shared", "with")).alias("best"))
+        .select(F.least("sid", "best.with").alias("a"), F.greatest("sid", "best.with").alias("b"))
+        .distinct()
+    )
 
 
 def arrays_of(docs: DataFrame, k: int, needed: DataFrame) -> DataFrame:
@@ -339,13 +341,21 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     filled = sets.where("n > 0")
     tiled = stored(tiles(filled), "tiles")
     marks = filled.groupBy("sid").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits"))
-    first = verified(rows, k, stored(possible(leader_pairs(tiled, percent), marks, percent), "pairs"), percent)
-    roots = components(first)
-    rooted = tiled.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    open_tiles = rooted.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("tile")
-    rest = rooted.join(open_tiles, "tile", "left_semi").join(marks.drop("n"), "sid")
-    second = verified(rows, k, stored(banded_pairs(rest, percent), "pairs"), percent)
-    final = components(first.unionByName(second))
+    links, roots = None, None
+    for turn in range(ROUNDS + 1):
+        rooted = tiled.withColumn("root", F.col("sid"))
+        if roots is not None:
+            known = roots.withColumnRenamed("node", "sid")
+            rooted = tiled.join(known, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        if turn < ROUNDS:
+            pairs = possible(leader_pairs(rooted, percent, turn), marks, percent)
+        else:  # what is left: every pair of unlike components in a tile
+            mixed = rooted.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("tile")
+            pairs = banded_pairs(rooted.join(mixed, "tile", "left_semi").join(marks.drop("n"), "sid"), percent)
+        found = verified(rows, k, stored(pairs, "pairs"), percent)
+        links = found if links is None else links.unionByName(found)
+        roots = components(links)
+    final = roots
     classed = sets.select("doc_id", "n", "sid").join(final.withColumnRenamed("node", "sid"), "sid", "left")
     # An empty set is a class of its own: its key is its document.
     key = F.when(F.col("n") > 0, F.coalesce("root", "sid"))
