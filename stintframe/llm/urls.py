@@ -148,18 +148,23 @@ def verdicts(pages: DataFrame) -> DataFrame:
     seen = told.where("said is not null").select(F.explode("tokens").alias("token"), blocked.alias("b"))
     counted = seen.groupBy("token").agg(F.sum("b").alias("b"), F.sum(1 - F.col("b")).alias("a"))
     prior_words = pages.sparkSession.createDataFrame(
-        [(s + w, labelled, 0) for w in UNWANTED for s in ("h:", "p:")], "token string, b long, a long"
+        [(s + w, 0, 0, labelled) for w in UNWANTED for s in ("h:", "p:")], "token string, b long, a long, told long"
     )
     counted = stored(
-        counted.unionByName(prior_words).groupBy("token").agg(F.sum("b").alias("b"), F.sum("a").alias("a")), "counts"
+        counted.withColumn("told", F.lit(0).cast("long"))
+        .unionByName(prior_words)
+        .groupBy("token")
+        .agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.sum("told").alias("told")),
+        "counts",
     )
+    # The list's counts are no part of the class totals, or they would make all other words look allowed.
     sums = counted.agg(F.sum("b").alias("b"), F.sum("a").alias("a"), F.count("*").alias("v")).first()
     classes = told.agg(
         F.sum(F.when(F.col("said") == "block", 1).otherwise(0)).alias("b"),
         F.sum(F.when(F.col("said") == "allow", 1).otherwise(0)).alias("a"),
     ).first()
     prior = math.log(((classes["b"] or 0) + 1) / ((classes["a"] or 0) + 1))
-    odds = F.log((F.col("b") + 1) / float(sums["b"] + sums["v"])) - F.log((F.col("a") + 1) / float(sums["a"] + sums["v"]))
+    odds = F.log((F.col("b") + F.col("told") + 1) / float(sums["b"] + sums["v"])) - F.log((F.col("a") + 1) / float(sums["a"] + sums["v"]))
     weights = counted.select("token", odds.alias("odds"))
     scores = (
         told.where("said is null")
