@@ -40,6 +40,8 @@ LEAST_BITS = 1024
 ROUNDS = 3
 #: A token is common when one of so many documents holds it, and at least MANY.
 ONE_OF, MANY = 1000, 16
+#: Texts whose sets are made at a time.
+BLOCK_ROWS = 1000
 #: Bits of the filter that tells which sets are needed again.
 FILTER_BITS = 1 << 20
 
@@ -51,6 +53,12 @@ def sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
         yield np.unique(shingles(found.of(i), k))
 
 
+def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, BLOCK_ROWS):
+            yield batch.slice(at, BLOCK_ROWS)
+
+
 def set_id(tokens: np.ndarray) -> int:
     """One hash of a whole set, as a signed number."""
     with np.errstate(over="ignore"):
@@ -95,11 +103,11 @@ def common_tokens(docs: DataFrame, k: int, rows: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, n, sid, prefix, bits) of every document; an empty set has n 0 and no prefix."""
+    """(doc_id, n, sid, prefix, bits, tokens) of every document; an empty set has n 0 and no prefix."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, ids, heads, lengths, bits = [], [], [], [0], []
+        for batch in blocks(batches):
+            sizes, ids, heads, lengths, bits, whole = [], [], [], [0], [], []
             for tokens in sets_of(batch.column(1), k):
                 n = len(tokens)
                 head = tokens[:0]
@@ -111,6 +119,7 @@ def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataF
                 heads.append(head)
                 lengths.append(lengths[-1] + len(head))
                 bits.append(bitmap(tokens))
+                whole.append(tokens.tobytes())
             flat = np.concatenate(heads).view(np.int64) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -119,11 +128,13 @@ def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataF
                     pa.array(ids, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat)),
                     pa.array(bits, pa.binary()),
+                    pa.array(whole, pa.binary()),
                 ],
-                ["doc_id", "n", "sid", "prefix", "bits"],
+                ["doc_id", "n", "sid", "prefix", "bits", "tokens"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, sid long, prefix array<long>, bits binary")
+    schema = "doc_id long, n long, sid long, prefix array<long>, bits binary, tokens binary"
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
 def _gather(batches: Iterator[pa.RecordBatch], *columns: str) -> list[np.ndarray]:
@@ -202,8 +213,8 @@ def leader_pairs(tiled: DataFrame, percent: int, turn: int) -> DataFrame:
     )
 
 
-def arrays_of(docs: DataFrame, k: int, needed: DataFrame) -> DataFrame:
-    """(sid, tokens) of the classes in ``needed`` and perhaps some others.
+def arrays_of(sets: DataFrame, needed: DataFrame) -> DataFrame:
+    """(sid, tokens) of the classes in ``needed``; sets: (sid, tokens), a class once or more.
 
     Which sets are needed is told by a bitmap of fixed size over hashed ids, built
     in Spark; a set with a bit of its own by chance is dropped by the join after.
@@ -215,31 +226,21 @@ def arrays_of(docs: DataFrame, k: int, needed: DataFrame) -> DataFrame:
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
         .collect()
     )
-    marked = docs.sparkSession.sparkContext.broadcast({r["bucket"]: bytes(r["bits"]) for r in parts})
+    marked = sets.sparkSession.sparkContext.broadcast({r["bucket"]: bytes(r["bits"]) for r in parts})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import struct
-
-        import xxhash
-
         bitmap = marked.value
         for batch in batches:
-            out: dict[int, bytes] = {}
-            for tokens in sets_of(batch.column(0), k):
-                if not len(tokens) or (sid := set_id(tokens)) in out:
-                    continue
-                h = xxhash.xxh64_intdigest(struct.pack("<q", sid), seed=42)
-                at = (h - (1 << 64) if h >> 63 else h) % FILTER_BITS
+            seen, keep = set(), []
+            for sid, at in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 # bucket numbers of Spark count from 1 for positive numbers, 0 stands for 0
                 bucket, bit = ((at - 1) // 32768 + 1, (at - 1) % 32768) if at > 0 else (0, 0)
                 code = bitmap.get(bucket)
-                if code is not None and code[bit >> 3] >> (bit & 7) & 1:
-                    out[sid] = tokens.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(out), pa.int64()), pa.array(list(out.values()), pa.binary())], ["sid", "tokens"]
-            )
+                keep.append(code is not None and bool(code[bit >> 3] >> (bit & 7) & 1) and sid not in seen)
+                seen.add(sid)
+            yield batch.select(["sid", "tokens"]).filter(pa.array(keep, pa.bool_()))
 
-    found = docs.select("text").mapInArrow(run, "sid long, tokens binary")
+    found = sets.select("sid", place.alias("place"), "tokens").mapInArrow(run, "sid long, tokens binary")
     return found.join(needed, "sid", "left_semi").dropDuplicates(["sid"])
 
 
@@ -285,10 +286,10 @@ def possible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(docs: DataFrame, k: int, pairs: DataFrame, percent: int) -> DataFrame:
-    """The links among stored candidate pairs; arrays are made for their members only."""
+def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The links among stored candidate pairs; arrays are read for their members only."""
     members = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    return stored(linked(pairs, arrays_of(docs, k, members), percent), "links")
+    return stored(linked(pairs, arrays_of(sets, members), percent), "links")
 
 
 def banded_pairs(tiled: DataFrame, percent: int) -> DataFrame:
@@ -341,22 +342,21 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     filled = sets.where("n > 0")
     tiled = stored(tiles(filled), "tiles")
     marks = filled.groupBy("sid").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits"))
-    links, roots = None, None
+    roots = filled.select(F.col("sid").alias("node"), F.col("sid").alias("root")).limit(0)
+    links = None
+
     for turn in range(ROUNDS + 1):
-        rooted = tiled.withColumn("root", F.col("sid"))
-        if roots is not None:
-            known = roots.withColumnRenamed("node", "sid")
-            rooted = tiled.join(known, "sid", "left").withColumn("root", F.coalesce("root", "sid"))
+        now = tiled.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
         if turn < ROUNDS:
-            pairs = possible(leader_pairs(rooted, percent, turn), marks, percent)
+            pairs = possible(leader_pairs(now, percent, turn), marks, percent)
         else:  # what is left: every pair of unlike components in a tile
-            mixed = rooted.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("tile")
-            pairs = banded_pairs(rooted.join(mixed, "tile", "left_semi").join(marks.drop("n"), "sid"), percent)
-        found = verified(rows, k, stored(pairs, "pairs"), percent)
-        links = found if links is None else links.unionByName(found)
-        roots = components(links)
-    final = roots
-    classed = sets.select("doc_id", "n", "sid").join(final.withColumnRenamed("node", "sid"), "sid", "left")
+            mixed = now.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("tile")
+            pairs = banded_pairs(now.join(mixed, "tile", "left_semi").join(marks.drop("n"), "sid"), percent)
+        found = verified(filled, stored(pairs, "pairs"), percent)
+        if not found.isEmpty():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
+    classed = sets.select("doc_id", "n", "sid").join(roots.withColumnRenamed("node", "sid"), "sid", "left")
     # An empty set is a class of its own: its key is its document.
     key = F.when(F.col("n") > 0, F.coalesce("root", "sid"))
     classed = classed.select("doc_id", "n", key.alias("key"))
