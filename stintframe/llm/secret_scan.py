@@ -80,8 +80,7 @@ def peak_entropy(candidate: Column) -> Column:
     """
     weights = F.array(*map(F.lit, window_weights()))
     codes = F.transform(
-        F.sequence(F.lit(1), F.length(candidate)),
-        lambda i: F.call_function("locate", F.substring(candidate, i, F.lit(1)), F.lit(ALPHABET)) - 1,
+        F.split(candidate, ""), lambda c: F.call_function("locate", c, F.lit(ALPHABET)) - 1
     )
 
     def fold(p: Column) -> Column:

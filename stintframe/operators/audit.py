@@ -20,6 +20,8 @@ from .ordering import average_ranks, exact_quantiles, value_counts
 MIN_PAIRS = 30
 HIGH_CORRELATION = 0.85
 VIF_LIMIT = 5.0
+#: Share of a variance that counts as none, above the rounding of the sums.
+EXACT = 1e-10
 
 
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ("year", "round_number", "RacePosition")) -> list[str]:
@@ -228,30 +230,42 @@ def target_correlations(df: DataFrame, columns: Sequence[str], target: str, keep
 
 
 def inflation_factors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """VIF of each column: the diagonal of the inverse correlation matrix.
+    """VIF of each column: ``1 / (1 - R^2)`` of its regression on the others.
 
-    The correlations of all pairs are one aggregate row over the complete rows;
-    only the k x k matrix reaches the driver.
+    The covariances of all pairs are one aggregate row over the complete rows;
+    only the k x k matrix reaches the driver. A column that the others determine
+    has infinity, also if some of the others are collinear among themselves. A
+    constant column has null and no part in the others' factors; without complete
+    rows (as with an all-null column) every factor is null.
     """
     complete = df.select(*[F.col(quoted(c)).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]).dropna()
     pairs = list(combinations(range(len(columns)), 2))
-    row = complete.agg(*[F.corr(f"v{i}", f"v{j}").alias(f"r{i}_{j}") for i, j in pairs], F.count("*").alias("n")).first()
+    row = complete.agg(
+        *[F.var_pop(f"v{i}").alias(f"s{i}") for i in range(len(columns))],
+        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs],
+        F.count("*").alias("n"),
+    ).first()
+    varied = [i for i in range(len(columns)) if row["n"] and row[f"s{i}"] > 0]
     matrix = np.eye(len(columns))
     for i, j in pairs:
-        r = row[f"r{i}_{j}"]
-        matrix[i, j] = matrix[j, i] = np.nan if r is None else r
-    try:
-        factors = np.diag(np.linalg.inv(matrix))
-    except np.linalg.LinAlgError:
-        factors = np.full(len(columns), np.inf)
-    rows = [(c, None if np.isnan(v) else float(v)) for c, v in zip(columns, factors)]
+        if i in varied and j in varied:
+            matrix[i, j] = matrix[j, i] = row[f"c{i}_{j}"] / (row[f"s{i}"] ** 0.5 * row[f"s{j}"] ** 0.5)
+    factors: list[float | None] = [None] * len(columns)
+    for i in varied:
+        others = [j for j in varied if j != i]
+        r = matrix[others, i]
+        unexplained = 1.0 - float(r @ np.linalg.pinv(matrix[np.ix_(others, others)], rcond=EXACT, hermitian=True) @ r)
+        factors[i] = 1.0 / unexplained if unexplained > EXACT else float("inf")
+    rows = list(zip(columns, factors))
     return df.sparkSession.createDataFrame(rows, "feature string, VIF double").orderBy(F.desc("VIF"), "feature")
 
 
 def importance_share(importance: DataFrame) -> DataFrame:
-    """Share of the total importance, one row per feature."""
+    """Share of the total importance, one row per feature; 0 where the total is 0."""
     total = importance.agg(F.sum("importance")).scalar()
-    return importance.withColumn("importance_share", F.col("importance") / total)
+    return importance.withColumn(
+        "importance_share", F.when(total == 0, F.lit(0.0)).otherwise(F.try_divide(F.col("importance"), total))
+    )
 
 
 def select_features(importance: DataFrame, vif: DataFrame) -> DataFrame:

@@ -317,3 +317,21 @@ def test_attribution_refuses_clashing_keys(season_rows):
     model = models.boosted_trees({"max_depth": 2}, label="y", max_iter=1).fit(season_rows)
     with pytest.raises(ValueError, match="x1"):
         explain.attribute(season_rows, model, ["x1", "x2", "x3"], ["x1"])
+
+
+def test_inflation_factors_of_degenerate_columns(spark):
+    rng = np.random.default_rng(3)
+    a, b = rng.normal(size=60), rng.normal(size=60)
+    frame = pd.DataFrame({"a": a, "b": b, "d": 2 * a, "one": 1.0})
+    df = spark.createDataFrame(frame)
+    got = {r.feature: r.VIF for r in audit.inflation_factors(df, ["a", "b", "d", "one"]).collect()}
+    alone = {r.feature: r.VIF for r in audit.inflation_factors(df, ["a", "b"]).collect()}
+    assert got["a"] == got["d"] == float("inf") and got["one"] is None
+    assert got["b"] == pytest.approx(alone["b"]) and alone["b"] < 2
+    empty = df.selectExpr("a", "b", "cast(null as double) as none")
+    assert {r.VIF for r in audit.inflation_factors(empty, ["a", "b", "none"]).collect()} == {None}
+
+
+def test_importance_share_of_a_zero_total(spark):
+    df = spark.createDataFrame([("x", 0.0), ("y", 0.0)], "feature string, importance double")
+    assert [r.importance_share for r in audit.importance_share(df).collect()] == [0.0, 0.0]
