@@ -7,7 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_text, jaccard, packing, passages, pieces, pitman_yor, quality, secret_scan, urls
+from . import (
+    exact_dedup,
+    fingerprints,
+    html_text,
+    jaccard,
+    merkle,
+    packing,
+    passages,
+    pieces,
+    pitman_yor,
+    quality,
+    secret_scan,
+    urls,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -221,3 +234,84 @@ FROM v
 @register("op10_quality_verdicts", OP10_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
+OP11_SQL = r"""
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS sha
+  FROM documents)
+SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITION BY sha) AS group_size,
+       row_number() OVER best = 1 AS kept, sha AS text_sha256
+FROM d WINDOW best AS (PARTITION BY sha ORDER BY n DESC, doc_id NULLS LAST)
+"""
+
+
+@register("op11_exact_copies", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
+
+
+def _sql_framed(value: str) -> str:
+    return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_sql_framed(f) for f in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_SQL_TREE = """
+{name} AS (
+  SELECT 0 AS lvl, grp, pos, n, h FROM {base}
+  UNION ALL
+  SELECT lvl + 1, grp, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(h, '' ORDER BY pos))
+  FROM {name} WHERE n > 1 GROUP BY lvl, grp, pos // 2)"""
+
+OP13_SQL = f"""
+WITH RECURSIVE crc AS (
+  SELECT doc_id AS id, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(doc_id::varchar, ''), lambda c: ascii(c)::bigint)),
+    lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+      lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+d AS (
+  SELECT doc_id, lang, {_sql_leaf("n_chars")} AS h,
+         {_sql_leaf("(n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END)")} AS other
+  FROM documents LEFT JOIN crc ON id = doc_id),
+langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp FROM (SELECT DISTINCT lang FROM d)),
+leaves AS (
+  SELECT grp, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, h) - 1 AS pos,
+         count(*) OVER (PARTITION BY grp) AS n, doc_id, h, other
+  FROM d JOIN langs ON langs.lang IS NOT DISTINCT FROM d.lang),
+{_SQL_TREE.format(name="lower_tree", base="leaves")},
+subroots AS (SELECT 0 AS grp, grp AS pos, count(*) OVER () AS n, h FROM lower_tree WHERE n = 1),
+{_SQL_TREE.format(name="upper_tree", base="subroots")},
+path AS (
+  SELECT l.grp, l.pos, t.lvl, xor(l.pos >> t.lvl, 1) AS beside, l.grp AS tree, 0 AS upper
+  FROM leaves l JOIN (SELECT DISTINCT grp, lvl FROM lower_tree WHERE n > 1) t ON t.grp = l.grp
+  UNION ALL
+  SELECT l.grp, l.pos, t.lvl, xor(l.grp >> t.lvl, 1), 0, 1
+  FROM leaves l, (SELECT DISTINCT lvl FROM upper_tree WHERE n > 1) t),
+steps AS (
+  SELECT p.grp, p.pos, p.beside % 2 = 0 AS on_left, coalesce(a.h, b.h, '') AS digest,
+         row_number() OVER (PARTITION BY p.grp, p.pos ORDER BY p.upper, p.lvl) AS k
+  FROM path p
+  LEFT JOIN lower_tree a ON p.upper = 0 AND a.grp = p.tree AND a.lvl = p.lvl AND a.pos = p.beside
+  LEFT JOIN upper_tree b ON p.upper = 1 AND b.lvl = p.lvl AND b.pos = p.beside),
+proof AS (SELECT grp, pos, sha256(string_agg(digest, '' ORDER BY k)) AS proof_sha256 FROM steps GROUP BY grp, pos),
+fold AS (
+  SELECT grp, pos, 1 AS k, other AS h FROM leaves
+  UNION ALL
+  SELECT f.grp, f.pos, f.k + 1, sha256(CASE WHEN s.on_left THEN s.digest || f.h ELSE f.h || s.digest END)
+  FROM fold f JOIN steps s ON s.grp = f.grp AND s.pos = f.pos AND s.k = f.k),
+folded AS (SELECT grp, pos, arg_max(h, k) AS folded_root FROM fold GROUP BY grp, pos),
+root AS (SELECT h AS root FROM upper_tree WHERE n = 1)
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root,
+       folded_root = root AS verified
+FROM leaves l JOIN subroots s ON s.pos = l.grp JOIN folded f ON f.grp = l.grp AND f.pos = l.pos
+LEFT JOIN proof p ON p.grp = l.grp AND p.pos = l.pos, root
+"""
+
+
+@register("op13_merkle_manifest", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.audit(table(spark, sf_dir, "documents"))
