@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    alignment,
     exact_dedup,
     fingerprints,
     html_text,
@@ -251,6 +252,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.verdicts(table(spark, sf_dir, "documents"))
 
 
+@register("op12_token_alignment")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model")
+    )
+
+
 def _sql_framed(value: str) -> str:
     return f"coalesce(strlen({value}::varchar) || ':' || {value}::varchar, '-')"
 
