@@ -12,7 +12,9 @@ group. It is associative and ``Fragment()`` is neutral, so the fragments of a lo
 text are composed by a tree of grouped reductions, ``FAN`` at a time, over as
 many Spark tasks as the text has ranges; the result does not depend on the cuts.
 
-**Ranges.** A text beyond ``CHUNK`` bytes is dealt out by ranges of that size. A
+**Ranges.** A text below ``CHUNK`` bytes is cut at its safe spaces (below), where
+both tokenizers cut: each segment is a fragment closed on both sides, made once by
+a worker and composed for every text that holds it. A text beyond ``CHUNK`` bytes is dealt out by ranges of that size. A
 task encodes its range from the last safe cut before it to the first one after:
 a space between two printable ASCII characters. There no token of A (its words
 take a space only in front) and no piece of B (``▁`` stands only in front of a
@@ -34,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
@@ -51,6 +54,8 @@ CHUNK = 1 << 16
 FAN = 8
 #: Bytes of text that are encoded at once; tokens take some hundred bytes each while encoding.
 AT_ONCE = 1 << 19
+#: Segments of a generation that a worker keeps, about 300 bytes each.
+KNOWN = 1 << 17
 #: Linked pairs (counted once a text) after which a block is closed.
 BLOCK_PAIRS = 1 << 19
 BLOCK_ROWS = 4096
@@ -78,6 +83,8 @@ class Pair:
     len_a: np.ndarray
     len_b: np.ndarray
     shown: np.ndarray  # ids as text followed by , then | then ;
+    young: dict[str, Entry | tuple[()]] = field(default_factory=dict)
+    old: dict[str, Entry | tuple[()]] = field(default_factory=dict)
 
 
 def _objects(values: list[bytes]) -> np.ndarray:
@@ -167,10 +174,8 @@ def common_ends(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return at, near[at]
 
 
-def close(t: Tokens, at_a: np.ndarray, at_b: np.ndarray, shown: np.ndarray) -> Closed:
-    """Groups of tokens whose last ends are common; ``at_a`` and ``at_b`` are the last tokens of the groups."""
-    if not len(at_a):
-        return Closed()
+def in_order(t: Tokens, at_a: np.ndarray, at_b: np.ndarray, shown: np.ndarray) -> list[bytes]:
+    """The ids as text, group by group, A before B, each followed by its separator."""
     top, n_a, n_b = len(shown) // 3, len(t.a), len(t.b)
     code = np.empty(n_a + n_b, np.int64)
     held_a, held_b = np.diff(at_a, prepend=-1), np.diff(at_b, prepend=-1)
@@ -179,10 +184,22 @@ def close(t: Tokens, at_a: np.ndarray, at_b: np.ndarray, shown: np.ndarray) -> C
     code[place_a], code[place_b] = t.a, t.b
     code[place_a[at_a]] += top
     code[place_b[at_b]] += 2 * top
-    cells = np.union1d(t.ea, t.eb)
-    links = t.a[np.searchsorted(t.ea, cells)] << _SHIFT | t.b[np.searchsorted(t.eb, cells)]
-    pairs, times = np.unique(links, return_counts=True)
-    return Closed(len(at_a), b"".join(shown[code].tolist())[:-1], pairs, times)
+    return shown[code].tolist()
+
+
+def linked(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
+    """Ends and pairs of the pieces between neighbouring ends of either side: one for each link."""
+    both = np.sort(np.concatenate([t.ea, t.eb]), kind="stable")
+    ends = both[np.diff(both, append=-1) != 0]
+    return ends, t.a[np.searchsorted(t.ea, ends)] << _SHIFT | t.b[np.searchsorted(t.eb, ends)]
+
+
+def close(t: Tokens, at_a: np.ndarray, at_b: np.ndarray, shown: np.ndarray) -> Closed:
+    """Groups of tokens whose last ends are common; ``at_a`` and ``at_b`` are the last tokens of the groups."""
+    if not len(at_a):
+        return Closed()
+    pairs, times = np.unique(linked(t)[1], return_counts=True)
+    return Closed(len(at_a), b"".join(in_order(t, at_a, at_b, shown))[:-1], pairs, times)
 
 
 def fragment(t: Tokens, starts: bool, shown: np.ndarray) -> Fragment:
@@ -226,22 +243,100 @@ def windows(body: bytes, chunk: int) -> Iterator[tuple[int, int, int, int]]:
         )
 
 
-def encode(bodies: list[bytes], v: Pair) -> Iterator[Tokens | None]:
-    """Tokens of strings that begin with a space; None where the bytes of a side differ."""
-    at = 0
-    while at < len(bodies):
-        to, held = at, 0
-        while to < len(bodies) and (to == at or held + len(bodies[to]) <= AT_ONCE):
-            held += len(bodies[to])
-            to += 1
-        texts = [x.decode(errors="replace") for x in bodies[at:to]]
-        left = v.a.encode_batch_fast(texts, add_special_tokens=False)
-        right = v.b.encode([x[1:] for x in texts], num_threads=1)
-        for body, x, y in zip(bodies[at:to], left, right):
-            a, b = np.array(x.ids, np.int64), np.array(y, np.int64)
-            same = b"".join(v.bytes_a[a].tolist()) == body and b"".join(v.bytes_b[b].tolist()) == body
-            yield Tokens(a, np.cumsum(v.len_a[a]), b, np.cumsum(v.len_b[b])) if same else None
-        at = to
+#: A space that is not between printable ASCII characters, letters or digits.
+_UNSAFE = re.compile(r"(?<![!-~\w]) | (?![!-~\w])")
+
+
+def _safe(c: str) -> bool:
+    return "!" <= c <= "~" or c == "_" or c.isalnum()
+
+
+def segments(text: str) -> list[str]:
+    """The text cut at its safe spaces, which are left out."""
+    if not _UNSAFE.search(text):
+        return text.split(" ")
+    unsafe = {m.start() for m in _UNSAFE.finditer(text)}
+    cuts = [-1, *(m.start() for m in re.finditer(" ", text) if m.start() not in unsafe), len(text)]
+    return [text[i + 1 : j] for i, j in zip(cuts, cuts[1:])]
+
+
+def encode(body: bytes, v: Pair) -> Tokens | None:
+    """Tokens of a string that begins with a space; None where the bytes of a side differ."""
+    text = body.decode(errors="replace")
+    a = np.array(v.a.encode(text, add_special_tokens=False).ids, np.int64)
+    b = np.array(v.b.encode(text[1:]), np.int64)
+    same = b"".join(v.bytes_a[a].tolist()) == body and b"".join(v.bytes_b[b].tolist()) == body
+    return Tokens(a, np.cumsum(v.len_a[a]), b, np.cumsum(v.len_b[b])) if same else None
+
+
+#: A segment's n_a, n_b and n_groups (24 bits each in one number), text, and pairs (one for each link, as bytes).
+Entry = tuple[int, bytes, bytes]
+_FIELD = 24
+
+
+def _entry(t: Tokens, v: Pair) -> Entry:
+    at = common_ends(t)
+    return _packed(len(t.a), len(t.b), len(at[0])), b"".join(in_order(t, *at, v.shown))[:-1], linked(t)[1].tobytes()
+
+
+def _packed(n_a: int, n_b: int, n_groups: int) -> int:
+    return n_a | n_b << _FIELD | n_groups << 2 * _FIELD
+
+
+def _learn(new: list[str], v: Pair) -> None:
+    """Put the closed fragments of segments into ``v.young``; empty where the bytes of a side differ.
+
+    Segments with safe characters at both ends are encoded as one text and cut
+    again at their ends, where tokens of both sides end.
+    """
+    plain = [x for x in new if x and _safe(x[0]) and _safe(x[-1])]
+    t = encode((" " + " ".join(plain)).encode(), v) if plain else None
+    if t is not None:
+        ends = np.cumsum([len(x.encode()) + 1 for x in plain])
+        at_a, at_b = common_ends(t)
+        shown = in_order(t, at_a, at_b, v.shown)
+        cell_ends, pairs = linked(t)
+        data = pairs.tobytes()
+        upto = (np.searchsorted(x, ends, side="right").tolist() for x in (t.ea, t.eb, t.ea[at_a], cell_ends))
+        a0 = b0 = g0 = c0 = 0
+        for x, a1, b1, g1, c1 in zip(plain, *upto):
+            text = b"".join(shown[a0 + b0 : a1 + b1])[:-1]
+            v.young[x] = _packed(a1 - a0, b1 - b0, g1 - g0), text, data[8 * c0 : 8 * c1]
+            a0, b0, g0, c0 = a1, b1, g1, c1
+    for x in new:
+        if x not in v.young:
+            one = encode((" " + x).encode(), v)
+            v.young[x] = () if one is None else _entry(one, v)
+
+
+def closed_texts(texts: list[str], v: Pair) -> Iterator[tuple[int, int, Closed] | None]:
+    """(n_a, n_b, groups) of whole texts, composed of the closed fragments of their segments.
+
+    Both sides cut at a safe space, so a segment's fragment is closed on both
+    sides and is made once. Two generations of about ``KNOWN`` segments are kept:
+    when the young one is full it becomes the old one, and only what is used
+    again returns from there.
+    """
+    cut = [segments(x) for x in texts]
+    if len(v.young) > KNOWN:
+        v.old, v.young = v.young, {}
+    young, old = v.young, v.old
+    parts = [list(map(young.get, t)) for t in cut]
+    missing = {x for t, held in zip(cut, parts) if None in held for x, p in zip(t, held) if p is None}
+    young |= {x: old[x] for x in missing if x in old}
+    new = [x for x in missing if x not in old]
+    if new:
+        _learn(new, v)
+    for t, held in zip(cut, parts):
+        held = [young[x] if p is None else p for x, p in zip(t, held)]
+        if not all(held):
+            yield None
+            continue
+        numbers, shown, links = zip(*held)
+        total, mask = sum(numbers), (1 << _FIELD) - 1
+        pairs, times = np.unique(np.frombuffer(b"".join(links), np.int64), return_counts=True)
+        closed = Closed(total >> 2 * _FIELD, b";".join(shown), pairs, times)
+        yield total & mask, total >> _FIELD & mask, closed
 
 
 def inside(t: Tokens, start: int, low: int, high: int) -> Tokens:
@@ -305,17 +400,17 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _short(path_a: str, path_b: str, texts: bool):
-    """Texts of one range each: encoded, made a fragment, finished."""
+    """Texts of one range each: whole and closed from the start."""
 
     def run(batches):
         v, schema = encoders(path_a, path_b), _schema(ALIGNED)
         for batch in _pieces(batches):
             ids, bodies = batch.column("doc_id").to_pylist(), batch.column("body").to_pylist()
+            found = closed_texts([(x or b"").decode(errors="replace") for x in bodies], v)
             rows = []
-            for doc_id, body, t in zip(ids, bodies, encode([b" " + (x or b"") for x in bodies], v)):
-                t = t if t is not None and body else None
-                part = fragment(t, True, v.shown) if t is not None else Fragment()
-                rows.append(_aligned_row(doc_id, t is not None, len(t.a) if t else 0, len(t.b) if t else 0, part.closed, texts))
+            for doc_id, body, one in zip(ids, bodies, found):
+                n_a, n_b, closed = one if one is not None and body else (0, 0, Closed())
+                rows.append(_aligned_row(doc_id, n_a > 0, n_a, n_b, closed, texts))
             yield _batch(rows, schema)
 
     return run
@@ -361,7 +456,8 @@ def _fragments(path_a: str, path_b: str):
         for batch in _pieces(batches):
             rows = batch.to_pylist()
             out = []
-            for r, t in zip(rows, encode([r["body"] for r in rows], v)):
+            for r in rows:
+                t = encode(r["body"], v)
                 held = inside(t, r["start"], r["low"], r["high"]) if t is not None else Tokens()
                 part = fragment(held, r["k"] == 0, v.shown)
                 out.append(_as_row(r["uid"], r["doc_id"], r["k"], t is not None, len(held.a), len(held.b), part))

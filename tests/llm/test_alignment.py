@@ -70,6 +70,7 @@ def found(spark, rows, chunk, parts=3):
 @pytest.mark.parametrize("chunk, parts", [(1 << 16, 3), (64, 5), (7, 2)])
 def test_alignment_equals_brute_force_for_every_range_size(spark, monkeypatch, chunk, parts):
     monkeypatch.setattr(al, "BLOCK_ROWS", 9)
+    monkeypatch.setattr(al, "KNOWN", 20)
     rows = texts(12, chunk)
     assert found(spark, rows, chunk, parts) == sorted(map(repr, by_force(rows)))
 
@@ -84,7 +85,7 @@ def test_fragments_are_a_monoid():
     v, rng = al.encoders(A, B), random.Random(4)
     for seed in range(30):
         text = " " + " ".join(rng.choice(["unbelievable", "日本語", "tokenization", "x9", "é"]) for _ in range(12))
-        (t,) = al.encode([text.encode()], v)
+        t = al.encode(text.encode(), v)
         size = len(text.encode())
         cuts = [0, *sorted(rng.sample(range(1, size), 6)), size]
         parts = [al.fragment(al.inside(t, 0, lo, hi), lo == 0, v.shown) for lo, hi in zip(cuts, cuts[1:])]
@@ -107,10 +108,11 @@ def test_safe_cuts_hold_for_the_vocabulary_and_encode_alike():
     v = al.encoders(A, B)
     assert not [i for i in range(v.b.get_piece_size()) if "▁" in v.b.id_to_piece(i).lstrip("▁")]
     body = (" " + " ".join(f"word{k}, l'été 日本 (x)  y" for k in range(60))).encode()
-    (whole,) = al.encode([body], v)
+    whole = al.encode(body, v)
+    assert len(al.segments(body.decode()[1:])) > 100
     for start, stop, low, high in al.windows(body, 50):
         assert start <= low < high <= stop and body[start : start + 1] == b" "
-        (part,) = al.encode([body[start:stop]], v)
+        part = al.encode(body[start:stop], v)
         got, want = al.inside(part, start, low, high), al.inside(whole, 0, low, high)
         assert [x.tolist() for x in got.parts()] == [x.tolist() for x in want.parts()]
 
@@ -125,3 +127,17 @@ def test_groups_are_returned_and_other_columns_ignored(spark):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert al.alignment(docs, A, B).collect() == [] and al.align(docs, A, B).collect() == []
+
+
+def test_kept_segments_give_what_the_whole_text_gives(monkeypatch):
+    monkeypatch.setattr(al, "KNOWN", 10)
+    v = al.encoders(A, B)
+    for _, text in texts(20, 3):
+        text = text or ""
+        (got,) = al.closed_texts([text], v)
+        whole = al.encode((" " + text).encode(), v) if text else None
+        if whole is None:
+            assert got is None or not text
+            continue
+        want = al.fragment(whole, True, v.shown)
+        assert got[:2] == (len(whole.a), len(whole.b)) and flat(al.Fragment(True, closed=got[2])) == flat(want)
