@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -229,35 +228,70 @@ def target_correlations(df: DataFrame, columns: Sequence[str], target: str, keep
     ).orderBy(F.desc_nulls_last("abs_rho"), "feature")
 
 
-def inflation_factors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """VIF of each column: ``1 / (1 - R^2)`` of its regression on the others.
+def correlation_row(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row (n, matrix): correlations over the complete rows, all pairs in one aggregate.
 
-    The covariances of all pairs are one aggregate row over the complete rows;
-    only the k x k matrix reaches the driver. A column that the others determine
-    has infinity, also if some of the others are collinear among themselves. A
-    constant column has null and no part in the others' factors; without complete
-    rows (as with an all-null column) every factor is null.
+    Constant columns have zeros, on the diagonal too.
     """
+    k = len(columns)
     complete = df.select(*[F.col(quoted(c)).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]).dropna()
-    pairs = list(combinations(range(len(columns)), 2))
-    row = complete.agg(
-        *[F.var_pop(f"v{i}").alias(f"s{i}") for i in range(len(columns))],
-        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs],
+    pairs = list(combinations(range(k), 2))
+    sums = complete.agg(
         F.count("*").alias("n"),
-    ).first()
-    varied = [i for i in range(len(columns)) if row["n"] and row[f"s{i}"] > 0]
-    matrix = np.eye(len(columns))
-    for i, j in pairs:
-        if i in varied and j in varied:
-            matrix[i, j] = matrix[j, i] = row[f"c{i}_{j}"] / (row[f"s{i}"] ** 0.5 * row[f"s{j}"] ** 0.5)
-    factors: list[float | None] = [None] * len(columns)
-    for i in varied:
-        others = [j for j in varied if j != i]
-        r = matrix[others, i]
-        unexplained = 1.0 - float(r @ np.linalg.pinv(matrix[np.ix_(others, others)], rcond=EXACT, hermitian=True) @ r)
-        factors[i] = 1.0 / unexplained if unexplained > EXACT else float("inf")
-    rows = list(zip(columns, factors))
-    return df.sparkSession.createDataFrame(rows, "feature string, VIF double").orderBy(F.desc("VIF"), "feature")
+        *[F.var_pop(f"v{i}").alias(f"s{i}") for i in range(k)],
+        *[F.covar_pop(f"v{i}", f"v{j}").alias(f"c{i}_{j}") for i, j in pairs],
+    )
+
+    def cell(i: int, j: int) -> Column:
+        if i == j:
+            return F.when(F.col(f"s{i}") > 0, 1.0).otherwise(0.0)
+        both = F.sqrt(F.col(f"s{i}")) * F.sqrt(F.col(f"s{j}"))
+        return F.when(both > 0, F.col(f"c{min(i, j)}_{max(i, j)}") / both).otherwise(0.0)
+
+    return sums.select("n", F.array(*[F.array(*[cell(i, j) for j in range(k)]) for i in range(k)]).alias("matrix"))
+
+
+def swept(matrix: Column, pivot: Column) -> Column:
+    """The symmetric ``matrix`` with the part that column ``pivot`` explains taken out of every cell.
+
+    A pivot whose own rest is below ``EXACT`` is explained by earlier ones (or
+    constant) and takes nothing out.
+    """
+    row_of = lambda m: F.get(m, pivot)
+    rest = F.get(row_of(matrix), pivot)
+    taken = F.transform(
+        matrix,
+        lambda row: F.transform(row, lambda x, c: x - F.get(row, pivot) * F.get(row_of(matrix), c) / rest),
+    )
+    return F.when(rest > EXACT, taken).otherwise(matrix)
+
+
+def inflation_factors(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """VIF of each column: ``1 / (1 - R^2)`` of its regression on the others.
+
+    The correlations are one row; for each column all others are swept out of the
+    k x k matrix, and what is left on its diagonal is the unexplained share. A
+    column that the others determine has infinity, also if some of the others are
+    collinear among themselves. A constant column has null and no part in the
+    others' factors; without complete rows (as with an all-null column) every
+    factor is null.
+    """
+    k = len(columns)
+    numbers = F.sequence(F.lit(0), F.lit(k - 1))
+
+    def unexplained(i: Column) -> Column:
+        others = F.filter(numbers, lambda j: j != i)
+        done = F.aggregate(others, F.col("matrix"), swept)
+        return F.get(F.get(done, i), i)
+
+    own = F.transform(
+        numbers, lambda i: F.struct(i.alias("i"), F.get(F.get("matrix", i), i).alias("own"), unexplained(i).alias("rest"))
+    )
+    names = F.array(*[F.lit(c) for c in columns])
+    factor = F.when((F.col("n") == 0) | (F.col("x.own") == 0), F.lit(None).cast("double"))
+    factor = factor.when(F.col("x.rest") > EXACT, 1.0 / F.col("x.rest")).otherwise(float("inf"))
+    out = correlation_row(df, columns).select("n", F.explode(own).alias("x"))
+    return out.select(F.get(names, F.col("x.i")).alias("feature"), factor.alias("VIF")).orderBy(F.desc("VIF"), "feature")
 
 
 def importance_share(importance: DataFrame) -> DataFrame:
@@ -269,15 +303,18 @@ def importance_share(importance: DataFrame) -> DataFrame:
 
 
 def select_features(importance: DataFrame, vif: DataFrame) -> DataFrame:
-    """Drop a feature only if its share is below 1/k and its VIF is high."""
+    """Drop a feature only if its share is below 1/k and its VIF is high.
+
+    The tables are outer-joined: a feature that only one of them has is kept.
+    """
     k = importance.agg(F.count("*")).scalar()
     shared = importance_share(importance)
-    weak = F.col("importance_share") < F.lit(1.0) / k
+    weak = F.coalesce(F.col("importance_share") < F.lit(1.0) / k, F.lit(False))
     high = F.coalesce(F.col("VIF") > VIF_LIMIT, F.lit(False))
     return (
-        shared.join(F.broadcast(vif), "feature", "left")
+        shared.join(vif, "feature", "full")
         .withColumns({"near_zero_importance": weak, "high_vif": high, "drop": weak & high})
-        .orderBy(F.desc("importance_share"), "feature")
+        .orderBy(F.desc_nulls_last("importance_share"), "feature")
     )
 
 

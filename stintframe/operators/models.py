@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import year_label
 from ..schemas import FINAL_FEATURES, TARGET, quoted
-from ..session import durable
-from ..sources.tables import path_exists
+from ..session import durable, path_exists, scratch_path
 from .metrics import METRICS, mean_absolute_error, score
+from .search import STARTUP_TRIALS, WARMUP_STEPS, run_study
 
 # ---- fixed values: search space and best parameters of the published study --
 SEARCH_SPACE = {
@@ -43,14 +43,12 @@ BEST_PARAMS = {
     "subsample": 0.831,
     "colsample_bytree": 0.713,
 }
-PRUNING_WARMUP_FOLDS = 2
 # -----------------------------------------------------------------------------
 
 PARAMS_SCHEMA = "struct<" + ",".join(
     f"{k}:{'int' if kind == 'int' else 'double'}" for k, (kind, _, _) in SEARCH_SPACE.items()
 ) + ">"
 BEST_SCHEMA = f"cv_mae double, params {PARAMS_SCHEMA}"
-TRIAL_SCHEMA = f"number int, value double, folds int, params {PARAMS_SCHEMA}, state string"
 
 MakeModel = Callable[[], Estimator]
 
@@ -190,10 +188,10 @@ def load_or_fit(spark: SparkSession, path: str, fit: Callable[[], object]):
     return model
 
 
-def sample_params(rng: random.Random) -> dict:
+def sample_params(rng: random.Random, space: dict = SEARCH_SPACE) -> dict:
     """One draw from the search space."""
     out = {}
-    for name, (kind, low, high) in SEARCH_SPACE.items():
+    for name, (kind, low, high) in space.items():
         if kind == "int":
             out[name] = rng.randint(low, high)
         elif kind == "log":
@@ -208,49 +206,38 @@ def random_search(
     trials: int = 50,
     seed: int = 42,
     label: str = TARGET,
-    max_iter: int | None = None,
-    warmup: int = PRUNING_WARMUP_FOLDS,
+    space: dict = SEARCH_SPACE,
+    warmup: int = WARMUP_STEPS,
+    startup: int = STARTUP_TRIALS,
     parallel: int = 4,
+    study: str | None = None,
 ) -> DataFrame:
-    """Trial log of a seeded random search with median pruning.
+    """Trial table of a seeded random search with median pruning over the seasons.
 
-    All trials advance fold by fold. After a fold (beyond the warm-up) a trial
-    whose running mean error is worse than the median of the trials that reached
-    that fold is pruned. ``max_iter`` bounds the trees of a trial.
+    Every trial is fitted with the parameters that are logged for it; ``space``
+    sets their ranges. ``parallel`` trials are one wave. ``study`` is the folder of
+    the log, from which an interrupted search goes on.
     """
-    rng = random.Random(seed)
-    params = [sample_params(rng) for _ in range(trials)]
-    years = season_list(data)
-    errors: list[list[float]] = [[] for _ in params]
-    alive = list(range(trials))
-
-    def fold_error(t: int, fold: int) -> float:
-        n = params[t]["n_estimators"]
-        estimator = boosted_trees(params[t], label=label, max_iter=min(n, max_iter or n))
-        model = estimator.fit(data.where(F.col("year") < years[fold]))
-        scored = model.transform(data.where(F.col("year") == years[fold]))
-        return mean_absolute_error(scored, label, "prediction").first()["MAE"]
-
-    with ThreadPool(parallel) as pool:
-        for fold in range(1, len(years)):
-            for t, e in zip(alive, pool.map(lambda t: fold_error(t, fold), alive)):
-                errors[t].append(e)
-            means = {t: sum(errors[t]) / len(errors[t]) for t in alive}
-            if fold > warmup and fold < len(years) - 1:
-                ranked = sorted(means.values())
-                mid = len(ranked) // 2
-                median = ranked[mid] if len(ranked) % 2 else (ranked[mid - 1] + ranked[mid]) / 2
-                alive = [t for t in alive if means[t] <= median]
-    done = len(years) - 1
-    rows = [
-        (t, sum(e) / len(e) if e else None, len(e), params[t], "COMPLETE" if len(e) == done else "PRUNED")
-        for t, e in enumerate(errors)
-    ]
-    return data.sparkSession.createDataFrame(rows, TRIAL_SCHEMA)
-
-
-def best_trial(trials: DataFrame) -> DataFrame:
-    """Lowest mean error among the complete trials, as (cv_mae, params)."""
-    return trials.where("state = 'COMPLETE'").agg(
-        F.min("value").alias("cv_mae"), F.min_by("params", F.struct("value", "number")).alias("params")
+    spark, years = data.sparkSession, season_list(data)
+
+    def evaluate(proposals, fold: int) -> dict[int, float]:
+        def error(params: dict) -> float:
+            model = boosted_trees(params, label=label).fit(data.where(F.col("year") < years[fold]))
+            scored = model.transform(data.where(F.col("year") == years[fold]))
+            return mean_absolute_error(scored, label, "prediction").first()["MAE"]
+
+        with ThreadPool(parallel) as pool:
+            return dict(zip(proposals, pool.map(error, proposals.values())))
+
+    return run_study(
+        spark,
+        study or scratch_path(spark, "study"),
+        lambda trial: sample_params(random.Random(f"{seed}:{trial}"), space),
+        evaluate,
+        len(years) - 1,
+        trials,
+        PARAMS_SCHEMA,
+        wave=parallel,
+        startup=startup,
+        warmup=warmup,
     )

@@ -7,7 +7,7 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from ..functions.scalars import experience_flag, membership_flag, position_tier, threshold_flag
-from ..operators import audit, explain, metrics, models
+from ..operators import audit, explain, metrics, models, search
 from ..operators.frame import weather_summary
 from ..operators.metrics import METRICS
 from ..operators.ordering import exact_quantiles, sorted_codes
@@ -20,7 +20,7 @@ from . import standin as st
 from .catalog import cells, query, tidy
 from .features import split_by_season
 from .inference import fit_before_race, predict_race
-from .oracle import melted, spearman_sql, with_parts
+from .oracle import NUMERIC, melted, spearman_sql, with_parts
 from .reports import error_frame, error_segments
 
 # Rows scored by a simple rule: the driver's recent form predicts the finish.
@@ -302,11 +302,68 @@ def m10(spark, sf):
     return tidy(audit.inflation_factors(st.matrix(spark, sf)[0], list(_WEIGHTS)).withColumnRenamed("VIF", "vif"))
 
 
-@query("m10b_vif_all", None)
+def sweep_sql(columns: dict[str, str], source: str = "filled", name: str = "vif") -> str:
+    """CTEs for the factor of every column (name -> expression): a sweep for each, one pivot a step."""
+    k, names = len(columns), list(columns)
+    inner = ", ".join(f"{e} AS v{i}" for i, e in enumerate(columns.values()))
+    cell = lambda i, j: f"CASE WHEN var_pop(v{i}) > 0 AND var_pop(v{j}) > 0 THEN corr(v{i}, v{j}) ELSE 0e0 END" if i != j else f"CASE WHEN var_pop(v{i}) > 0 THEN 1e0 ELSE 0e0 END"
+    rows = ", ".join("[" + ", ".join(cell(min(i, j), max(i, j)) for j in range(k)) + "]" for i in range(k))
+    return f"""{name}_m AS (SELECT [{rows}] AS m FROM (SELECT {inner} FROM {source})),
+{name}_sweep AS (
+  SELECT i, 1 AS p, m FROM {name}_m, (SELECT unnest(range(1, {k + 1})) AS i)
+  UNION ALL
+  SELECT i, p + 1, CASE WHEN p = i OR m[p][p] <= {audit.EXACT!r} THEN m
+    ELSE list_transform(m, lambda r: list_transform(range(1, {k + 1}), lambda c: r[c] - r[p] * m[p][c] / m[p][p])) END
+  FROM {name}_sweep WHERE p <= {k}),
+{name} AS (
+  SELECT {names!r}[s.i] AS feature, CASE WHEN b.m[s.i][s.i] > 0 THEN s.m[s.i][s.i] END AS rest
+  FROM {name}_sweep s, {name}_m b WHERE s.p = {k + 1})"""
+
+
+def _recursive(sql: str) -> str:
+    return sql.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+_ALL_NUMERIC = {c: NUMERIC[c] for c in NUMERIC_SCALE_FEATURES}
+
+
+@query(
+    "m10b_vif_all",
+    _recursive(with_parts("filled", "SELECT feature, round(1 / rest, 6) AS \"VIF\" FROM vif", extra=sweep_sql(_ALL_NUMERIC))),
+)
 def m10b(spark, sf):
     return tidy(audit.inflation_factors(st.matrix(spark, sf)[0], NUMERIC_SCALE_FEATURES))
 
 
+_DEGENERATE = {"grid": "grid", "roll": "roll", "both": "grid + roll", "constant": "7e0", "lag1": "lag1"}
+
+
+@query(
+    "m10c_vif_degenerate",
+    _recursive(
+        with_parts(
+            "filled",
+            f"SELECT feature, CASE WHEN rest > {audit.EXACT!r} THEN round(1 / rest, 6) END AS vif, rest <= {audit.EXACT!r} AS determined FROM vif",
+            extra=sweep_sql(_DEGENERATE),
+        )
+    ),
+)
+def m10c(spark, sf):
+    """Collinear columns are determined, a constant has no factor and disturbs none."""
+    matrix, fitted = st.matrix(spark, sf)
+    raw = unscale(matrix, fitted.numeric, ["GridPosition", "DriverFinish_roll3_inseason", "DriverFinish_lag1"])
+    df = raw.select(
+        F.col("GridPosition").alias("grid"),
+        F.col("DriverFinish_roll3_inseason").alias("roll"),
+        (F.col("GridPosition") + F.col("DriverFinish_roll3_inseason")).alias("both"),
+        F.lit(7.0).alias("constant"),
+        F.col("DriverFinish_lag1").alias("lag1"),
+    )
+    vif = audit.inflation_factors(df, list(_DEGENERATE))
+    endless = F.col("VIF") == float("inf")
+    return tidy(vif.select("feature", F.when(~endless, F.col("VIF")).alias("vif"), endless.alias("determined")))
+
+
 @query(
     "m11_feature_selection",
     with_parts(
@@ -511,18 +568,19 @@ def m12(spark, sf):
 
 @query("m13_random_search")
 def m13(spark, sf):
-    """Trial log; M-14 pruning is part of it."""
+    """Trial table of a search that fits small models; ``m13b`` and ``m14`` check search and pruning."""
     return tidy(_trials(spark, sf).select("number", "value", "folds", "params.max_depth", "params.learning_rate", "state"), 4)
 
 
 def _trials(spark, sf):
-    make = lambda: durable(models.random_search(_split(spark, sf)[0], trials=4, max_iter=2, warmup=1))
+    space = models.SEARCH_SPACE | {"n_estimators": ("int", 2, 3), "max_depth": ("int", 2, 3)}
+    make = lambda: models.random_search(_split(spark, sf)[0], trials=4, space=space, startup=2, parallel=2)
     return st._once(spark, sf, "trials", make)
 
 
 @query("m15_best_trial")
 def m15(spark, sf):
-    path = sinks.write_json(models.best_trial(_trials(spark, sf)), scratch_path(spark, "best"))
+    path = sinks.write_json(search.best_trial(_trials(spark, sf)), scratch_path(spark, "best"))
     return tidy(sinks.read_json(spark, path, models.BEST_SCHEMA).select("cv_mae", "params.*"), 4)
 
 

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import math
+import random
 
 import numpy as np
 import pandas as pd
@@ -10,7 +11,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from stintframe.functions import scalars
-from stintframe.operators import audit, explain, metrics, models
+from stintframe.operators import audit, explain, metrics, models, search
 from stintframe.operators.segments import flagged_entities, in_fixed_order, segment_summary, union_labelled
 
 RNG = np.random.default_rng(11)
@@ -257,15 +258,20 @@ def test_model_store(spark, season_rows, tmp_path):
     assert rows(first.transform(season_rows), "id", "prediction") == rows(again.transform(season_rows), "id", "prediction")
 
 
-def test_random_search_is_seeded_and_prunes(season_rows):
-    a = models.random_search(season_rows, trials=5, seed=3, label="y", max_iter=2, warmup=1)
-    got = a.collect()
-    assert [r.params for r in got] == [r.params for r in models.random_search(season_rows, trials=5, seed=3, label="y", max_iter=1).collect()]
+def test_random_search_logs_what_it_fits(season_rows, monkeypatch):
+    space = models.SEARCH_SPACE | {"n_estimators": ("int", 1, 2), "max_depth": ("int", 2, 3)}
+    fitted, plain = [], models.boosted_trees
+    monkeypatch.setattr(models, "boosted_trees", lambda p, **k: fitted.append(p) or plain(p, **k))
+    a = models.random_search(season_rows, trials=6, seed=3, label="y", space=space, warmup=1, startup=2, parallel=2)
+    got = a.orderBy("number").collect()
+    assert [r.params.asDict() for r in got] == [models.sample_params(random.Random(f"3:{t}"), space) for t in range(6)]
+    assert {tuple(sorted(p.items())) for p in fitted} == {tuple(sorted(r.params.asDict().items())) for r in got}
+    assert plain(got[0].params.asDict(), label="y").getMaxIter() == got[0].params.n_estimators
     done = [r for r in got if r.state == "COMPLETE"]
-    assert {r.state for r in got} == {"COMPLETE", "PRUNED"} and all(r.folds == 3 for r in done) and all(r.folds == 2 for r in got if r.state == "PRUNED")
-    best = models.best_trial(a).first()
-    assert best.cv_mae == min(r.value for r in done) and best.params == min(done, key=lambda r: r.value).params
-    for name, (_, low, high) in models.SEARCH_SPACE.items():
+    assert {r.state for r in got} <= {"COMPLETE", "PRUNED"} and all(r.folds == 3 for r in done)
+    best = search.best_trial(a).first()
+    assert best.cv_mae == min(r.value for r in done)
+    for name, (_, low, high) in space.items():
         assert all(low <= r.params[name] <= high for r in got)
 
 
