@@ -16,10 +16,9 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..schemas import quoted
-from ..session import durable
+from ..session import durable, stored
 from .ordering import running_before
 
 HOT_ROWS = 4_000_000
@@ -28,21 +27,19 @@ _POS, _SPREAD, _BLOCK, _OWN = "__pos", "__spread", "__block", "__own"
 _SEG, _WEIGHT, _TERM = "__seg", "__weight", "__term"
 
 
-def hot_entities(df: DataFrame, entity: str, hot_rows: int = HOT_ROWS) -> list:
-    """Entities with more than ``hot_rows`` rows.
+def hot_entities(df: DataFrame, entity: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(entity): those with more than ``hot_rows`` rows, all of them.
 
-    Counting is a map-side combined aggregate over one column. The ten thousand
-    largest are enough: any other entity has less than 1/10000 of the rows and
-    fits one task of the window.
+    Counting is a map-side combined aggregate over one column; the list has at
+    most one entry per ``hot_rows`` rows and stays a table.
     """
-    counts = (
+    return (
         df.where(F.col(quoted(entity)).isNotNull())
         .groupBy(F.col(quoted(entity)).alias("entity"))
         .agg(F.count("*").alias("n"))
         .where(F.col("n") > hot_rows)
+        .select("entity")
     )
-    found = counts.orderBy(F.desc("n")).limit(10_000).collect()
-    return [r["entity"] for r in found]
 
 
 def ewm_segment(span: float) -> int:
@@ -71,16 +68,15 @@ def add_history(
     check where the rows per entity are bounded by the calendar.
     """
     spec = (dict(lags or {}), dict(rolls or {}), dict(ewms or {}), prior)
-    hot = []
+    hot = None
     if hot_rows is not None:
-        hot = hot_entities(key_source if key_source is not None else df, entity, hot_rows)
+        hot = stored(hot_entities(key_source if key_source is not None else df, entity, hot_rows), "hot")
     key = F.col(quoted(entity))
     columns = [*df.columns, *_outputs(spec)]
-    if not hot:
+    if hot is None or hot.isEmpty():
         return _plain(df, entity, order, spec).select(*_quoted(columns))
     df = durable(df)
-    listed = T.StructType([T.StructField("__hot", df.schema[entity].dataType)])
-    listed = F.broadcast(df.sparkSession.createDataFrame([(h,) for h in hot], listed))
+    listed = hot.withColumnRenamed("entity", "__hot")
     is_hot = key == F.col("__hot")
     cold = _plain(df.join(listed, is_hot, "left_anti"), entity, order, spec)
     split = _blocked(df.join(listed, is_hot, "left_semi"), entity, order, spec, hot_rows)

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import membership_flag, position_tier, threshold_flag
 from ..operators import audit, cleaning, prep
 from ..operators.frame import join_drivers, prepare_results
 from ..operators.prep import Preprocessors
-from ..schemas import CIRCUIT, FINAL_FEATURES, ID_COLUMNS, LEAKAGE_REGISTRY, TARGET
+from ..schemas import ALL_TABLES, CIRCUIT, CORE_TABLES, FINAL_FEATURES, ID_COLUMNS, LEAKAGE_REGISTRY, TARGET
 from ..session import scratch_path
 from ..sources import sinks, tables
 from . import standin as st
 from .catalog import cells, query, tidy
+from .features import run_modules
 from .ingest import run_ingestion
 from .oracle import with_parts
 
@@ -20,7 +24,8 @@ from .oracle import with_parts
 
 
 def _scan(spark, sf, table, **options):
-    return tables.read_table(spark, st.landed_root(spark, sf), table, schema=st.landed_schemas(spark, sf)[table], **options)
+    schema = st.landed_schema(st.landed_table(spark, sf, table))
+    return tables.read_table(spark, st.landed_root(spark, sf, [table]), table, schema=schema, **options)
 
 
 @query("s1_partitioned_scan", with_parts("ord", "SELECT year, round_number, count(*) AS n, count(pos) AS placed FROM ord GROUP BY 1, 2"))
@@ -40,50 +45,84 @@ def s3(spark, sf):
     return tidy(_scan(spark, sf, "weather", session="R").groupBy("year", "round_number").agg(F.count("*").alias("n")))
 
 
-def _landed_races(spark, sf, **options):
-    return tables.load_sources(
-        spark,
-        st.landed_root(spark, sf),
-        tables=["session_results", "weather"],
-        schemas=st.landed_schemas(spark, sf),
-        **options,
-    )
+def _landed_races(spark, sf, wanted=CORE_TABLES, **options):
+    root = st.landed_root(spark, sf, wanted)
+    return tables.load_sources(spark, root, tables=wanted, schemas=st.landed_schemas(spark, sf), **options)
+
+
+def _manifest(spark, sf, wanted):
+    return tables.partition_manifest(spark, st.landed_root(spark, sf, wanted), wanted)
+
+
+# Partitions of each landed table.
+_HELD = f"""held AS (
+  SELECT DISTINCT year, round_number, unnest(['session_info', 'session_results']) AS t FROM ord
+  UNION SELECT year, round_number, 'driver_info' FROM ord JOIN team ON c_custkey = o_custkey
+  UNION SELECT year, round_number, 'laps' FROM ord JOIN lineitem ON l_orderkey = dn WHERE round_number <= {st.LAP_ROUNDS}
+  UNION SELECT year, round_number, 'weather' FROM wx0 WHERE session_type = 'R'),
+complete AS (SELECT year, round_number FROM held WHERE t <> 'weather' GROUP BY 1, 2 HAVING count(*) = 4)"""
 
 
-_COMPLETE = "FROM ord o WHERE EXISTS (SELECT 1 FROM wx w WHERE w.year = o.year AND w.round_number = o.round_number)"
+def _held_sql(body: str) -> str:
+    return with_parts("ord team wx", body, extra=_HELD)
 
 
-@query("s4_complete_partitions", with_parts("ord wx", f"SELECT o.dn AS driver_number, o.pos AS position {_COMPLETE}"))
+@query("s4_complete_partitions", _held_sql("SELECT dn AS driver_number, pos AS position FROM ord JOIN complete USING (year, round_number)"))
 def s4(spark, sf):
+    """Results of the partitions that have all four core tables."""
     df = _landed_races(spark, sf)["session_results"]
     return cells(df, {"driver_number": "DriverNumber", "position": "Position"})
 
 
 @query(
     "s4b_incomplete_partitions",
-    with_parts(
-        "ord wx",
-        """SELECT year, round_number AS round, CASE WHEN r THEN 'weather' ELSE 'session_results' END AS missing FROM (
-  SELECT coalesce(o.year, w.year) AS year, coalesce(o.round_number, w.round_number) AS round_number,
-         o.year IS NOT NULL AS r, w.year IS NOT NULL AS x
-  FROM (SELECT DISTINCT year, round_number FROM ord) o FULL JOIN wx w ON o.year = w.year AND o.round_number = w.round_number)
-WHERE NOT (r AND x)""",
+    _held_sql(
+        f"""SELECT year, round_number AS round, array_to_string(list_filter({ALL_TABLES!r}, lambda x: NOT list_contains(h, x)), ',') AS missing
+FROM (SELECT year, round_number, list(t) AS h FROM held GROUP BY 1, 2) WHERE len(h) < 5"""
     ),
 )
 def s4b(spark, sf):
-    found = {t: _scan(spark, sf, t) for t in ("session_results", "weather")}
-    df = tables.incomplete_partitions(found)
+    """Partitions that lack one of the five tables, from the manifests."""
+    df = tables.missing_in(_manifest(spark, sf, ALL_TABLES), ALL_TABLES)
     return tidy(df.select("year", "round", F.array_join("missing", ",").alias("missing")))
 
 
+@query(
+    "s5_empty_input",
+    _held_sql(
+        """SELECT y AS year, count(o.dn) AS n, CASE WHEN count(c.year) = 0 THEN 'no complete race-session partitions' ELSE 'ok' END AS status
+FROM (SELECT unnest([1990, 1996, 2001, 2030]) AS y) LEFT JOIN complete c ON c.year = y LEFT JOIN ord o ON o.year = c.year AND o.round_number = c.round_number
+GROUP BY y"""
+    ),
+)
+def s5(spark, sf):
+    """Rows of single seasons; a season without partitions is an error."""
+    out = []
+    for year in (1990, 1996, 2001, 2030):
+        try:
+            n, status = _landed_races(spark, sf, years=[year])["session_results"].count(), "ok"
+        except FileNotFoundError as e:
+            n, status = 0, str(e).split(" under ")[0]
+        out.append((year, n, status))
+    return spark.createDataFrame(out, "year long, n long, status string")
+
+
 @query(
     "s6_audit_scan",
-    with_parts("ord wx", """SELECT 'session_results' AS "table", count(*) AS n FROM ord UNION ALL SELECT 'weather', count(*) FROM wx0 WHERE session_type = 'R'"""),
+    with_parts(
+        "ord team wx",
+        f"""SELECT 'session_info' AS "table", (SELECT count(DISTINCT year * 100 + round_number) FROM ord) AS n
+UNION ALL SELECT 'driver_info', (SELECT count(*) FROM ord JOIN team ON c_custkey = o_custkey)
+UNION ALL SELECT 'session_results', (SELECT count(*) FROM ord)
+UNION ALL SELECT 'laps', (SELECT count(*) FROM ord JOIN lineitem ON l_orderkey = dn WHERE round_number <= {st.LAP_ROUNDS})
+UNION ALL SELECT 'weather', (SELECT count(*) FROM wx0 WHERE session_type = 'R')""",
+    ),
 )
 def s6(spark, sf):
-    found = _landed_races(spark, sf, complete=False)
+    """Rows of all five tables, complete or not."""
+    found = _landed_races(spark, sf, ALL_TABLES, complete=False)
     counts = [df.agg(F.lit(t).alias("table"), F.count("*").alias("n")) for t, df in found.items()]
-    return counts[0].unionByName(counts[1])
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
@@ -104,13 +143,19 @@ def s7(spark, sf):
 
 @query(
     "s8_load_mode",
-    "SELECT 'session_results' AS \"table\", count(*) AS n FROM orders UNION ALL SELECT 'weather', count(*) FROM events",
+    with_parts(
+        "ord team",
+        f"""SELECT 'session_info' AS "table", (SELECT count(DISTINCT year * 100 + round_number) FROM ord) AS n
+UNION ALL SELECT 'driver_info', (SELECT count(*) FROM ord JOIN team ON c_custkey = o_custkey)
+UNION ALL SELECT 'session_results', (SELECT count(*) FROM orders)
+UNION ALL SELECT 'laps', (SELECT count(*) FROM ord JOIN lineitem ON l_orderkey = dn WHERE round_number <= {st.LAP_ROUNDS})
+UNION ALL SELECT 'weather', (SELECT count(*) FROM events)""",
+    ),
 )
 def s8(spark, sf):
-    """Rows of the tables a load mode asks for, as far as they were landed."""
-    found = [t for t in tables.tables_for_mode("viz") if t in st.landed_schemas(spark, sf)]
-    counts = [_scan(spark, sf, t, session=None).agg(F.lit(t).alias("table"), F.count("*").alias("n")) for t in found]
-    return counts[0].unionByName(counts[1])
+    """Rows of every table that a load mode asks for."""
+    counts = [_scan(spark, sf, t, session=None).agg(F.lit(t).alias("table"), F.count("*").alias("n")) for t in tables.tables_for_mode("viz")]
+    return reduce(DataFrame.unionByName, counts)
 
 
 @query(
@@ -169,11 +214,9 @@ def s14(spark, sf):
     return sinks.read_json(spark, path, "model string, mae double")
 
 
-@query("s16_latest_complete_round", with_parts("ord wx", "SELECT max(year) AS year, max_by(round_number, year * 100 + round_number) AS round FROM (SELECT o.year, o.round_number " + _COMPLETE + ")"))
+@query("s16_latest_complete_round", _held_sql("SELECT max(year) AS year, max_by(round_number, year * 100 + round_number) AS round FROM complete"))
 def s16(spark, sf):
-    found = {t: _scan(spark, sf, t) for t in ("session_results", "weather")}
-    best = F.max(F.struct("year", "round")).alias("m")
-    return tidy(tables.complete_partitions(found).agg(best).select("m.year", "m.round"))
+    return tidy(tables.latest_complete(_manifest(spark, sf, CORE_TABLES), CORE_TABLES))
 
 
 @query(
@@ -189,6 +232,28 @@ def s17(spark, sf):
     return tidy(status.drop("error"))
 
 
+@query(
+    "s18_module_switch",
+    """SELECT 'data' AS module, (SELECT count(*) FROM lineitem) AS clean_laps, 'ok' AS outcome
+UNION ALL SELECT 'fe', NULL, 'FileNotFoundError' UNION ALL SELECT 'all', (SELECT count(*) FROM lineitem), 'FileNotFoundError'
+UNION ALL SELECT 'none', NULL, 'ValueError'""",
+)
+def s18(spark, sf):
+    """What each module runs when only laps were landed: features need every core table."""
+    landing = scratch_path(spark, "landing")
+    sinks.write_parquet(_raw_laps(spark, sf), f"{landing}/laps")
+    out = []
+    for module in ("data", "fe", "all", "none"):
+        root, outcome = scratch_path(spark, "modules"), "ok"
+        try:
+            run_modules(spark, landing, root, module=module)
+        except (FileNotFoundError, ValueError) as e:
+            outcome = type(e).__name__
+        held = tables.partition_manifest(spark, root, ["laps"], session=None).agg(F.sum("n")).scalar()
+        out.append(spark.range(1).select(F.lit(module).alias("module"), held.alias("clean_laps"), F.lit(outcome).alias("outcome")))
+    return reduce(DataFrame.unionByName, out)
+
+
 # ---- cleaning ---------------------------------------------------------------
 
 

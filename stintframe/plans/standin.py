@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import CIRCUIT, KEY_FIELDS, PARTITION_FIELDS
+from ..schemas import ALL_TABLES, CIRCUIT, KEY_FIELDS, PARTITION_FIELDS
 from ..session import scratch_path
 from ..sources.sinks import write_parquet, write_table
 from .features import build_features, lagged_frame
@@ -162,16 +162,25 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make):
     return _WRITTEN[key]
 
 
-def landed_root(spark: SparkSession, sf_dir: str) -> str:
-    """Folder with session_results and weather in the partitioned layout."""
+LAP_ROUNDS = 11  # laps of the twelfth round are not landed
 
-    def make() -> str:
-        root = scratch_path(spark, "tables")
-        write_table(session_results(spark, sf_dir), root, "session_results")
-        write_table(weather(spark, sf_dir, session=None), root, "weather")
-        return root
 
-    return _once(spark, sf_dir, "landed", make)
+def landed_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A stand-in table with its session keys, as it is landed."""
+    if table == "weather":
+        return weather(spark, sf_dir, session=None)
+    if table == "laps":
+        keys = _starts(spark, sf_dir).select("year", "round_number", "session_type", "DriverNumber")
+        return laps(spark, sf_dir).join(keys, "DriverNumber").where(F.col("round_number") <= LAP_ROUNDS)
+    return tables(spark, sf_dir)[table]
+
+
+def landed_root(spark: SparkSession, sf_dir: str, wanted=tuple(ALL_TABLES)) -> str:
+    """Folder with the wanted tables in the partitioned layout; each is written once."""
+    root = _once(spark, sf_dir, "landed", lambda: scratch_path(spark, "tables"))
+    for t in wanted:
+        _once(spark, sf_dir, f"landed-{t}", lambda t=t: write_table(landed_table(spark, sf_dir, t), root, t))
+    return root
 
 
 def landed_schema(df: DataFrame) -> T.StructType:
@@ -182,10 +191,7 @@ def landed_schema(df: DataFrame) -> T.StructType:
 
 
 def landed_schemas(spark: SparkSession, sf_dir: str) -> dict[str, T.StructType]:
-    return {
-        "session_results": landed_schema(session_results(spark, sf_dir)),
-        "weather": landed_schema(weather(spark, sf_dir, session=None)),
-    }
+    return {t: landed_schema(landed_table(spark, sf_dir, t)) for t in ALL_TABLES}
 
 
 def matrix(spark: SparkSession, sf_dir: str):

@@ -6,6 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import PARTITION_FIELDS
+
+MANIFEST = "_manifest"
+PARTITION_SCHEMA = T.StructType([T.StructField("year", T.IntegerType()), *PARTITION_FIELDS])
+MANIFEST_SCHEMA = T.StructType([*PARTITION_SCHEMA, T.StructField("n", T.LongType())])
+
 METRIC_SCHEMA = T.StructType(
     [
         T.StructField("model", T.StringType()),
@@ -21,7 +27,8 @@ def write_table(df: DataFrame, root: str, table: str) -> str:
 
     The path columns ``round`` and ``session`` are copies, so the files keep
     ``round_number`` and ``session_type``. Rows are rebalanced by partition:
-    small sessions become one file each, a huge one is split over tasks.
+    small sessions become one file each, a huge one is split over tasks. The
+    table's manifest is written anew.
     """
     path = f"{root}/{table}"
     keyed = df.withColumns(
@@ -38,9 +45,26 @@ def write_table(df: DataFrame, root: str, table: str) -> str:
         .option("compression", "snappy")
         .parquet(path)
     )
+    write_manifest(df.sparkSession, root, table)
     return path
 
 
+def manifest_path(root: str, table: str) -> str:
+    return f"{root}/{MANIFEST}/{table}"
+
+
+def partition_counts(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """(year, round, session, n) of a table, from partition values and file footers: no column is read."""
+    keys = spark.read.schema(PARTITION_SCHEMA).parquet(f"{root}/{table}")
+    return keys.groupBy("year", "round", "session").agg(F.count("*").alias("n"))
+
+
+def write_manifest(spark: SparkSession, root: str, table: str) -> None:
+    """Store the partitions of a table and their row counts beside the tables, one row a partition."""
+    counts = partition_counts(spark, root, table)
+    counts.write.mode("overwrite").option("compression", "snappy").parquet(manifest_path(root, table))
+
+
 def write_parquet(df: DataFrame, path: str) -> str:
     df.write.mode("overwrite").option("compression", "snappy").parquet(path)
     return path

@@ -17,7 +17,8 @@ from ..schemas import (
     SESSION_TYPES,
     table_schema,
 )
-from ..session import small_side
+from ..session import path_exists, small_side
+from .sinks import MANIFEST_SCHEMA, manifest_path, partition_counts
 
 # Tables wanted by each load mode. The visual mode would add telemetry, which no
 # clean table stores, so both read the same tables.
@@ -52,11 +53,6 @@ def parse_years(args: Sequence[str]) -> list[int]:
     return sorted(years)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
-
-
 def read_table(
     spark: SparkSession,
     root: str,
@@ -87,6 +83,56 @@ def read_table(
     return df
 
 
+def partition_manifest(
+    spark: SparkSession,
+    root: str,
+    tables: Sequence[str],
+    years: Iterable[int] | None = None,
+    session: str | None = RACE_SESSION,
+) -> DataFrame:
+    """(table, year, round, session, n): the partitions of the tables, read from their manifests.
+
+    A table written by other means has no manifest; its partitions are then
+    counted from its folders and file footers. A table without a folder has none.
+    """
+    parts = []
+    for name in tables:
+        if path_exists(spark, manifest_path(root, name)):
+            found = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(root, name))
+        elif path_exists(spark, f"{root}/{name}"):
+            found = partition_counts(spark, root, name)
+        else:
+            found = spark.createDataFrame([], MANIFEST_SCHEMA)
+        parts.append(found.withColumn("table", F.lit(name)))
+    out = reduce(DataFrame.unionByName, parts).where("n > 0")
+    if session is not None:
+        out = out.where(F.col("session") == session)
+    if years is not None:
+        out = out.where(F.col("year").isin(list(years)))
+    return out.select("table", "year", "round", "session", "n")
+
+
+def complete_in(manifest: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """(year, round, session) for which the manifest has every one of the tables."""
+    wanted = manifest.where(F.col("table").isin(list(tables)))
+    grouped = wanted.groupBy("year", "round", "session").agg(F.count("*").alias("have"))
+    return grouped.where(F.col("have") == len(tables)).drop("have")
+
+
+def missing_in(manifest: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """Partitions that lack one of the tables, with the list of those they lack."""
+    names = F.array(*[F.lit(t) for t in tables])
+    have = F.collect_set("table")  # at most one entry per table name
+    grouped = manifest.groupBy("year", "round", "session").agg(F.array_except(names, have).alias("missing"))
+    return grouped.where(F.size("missing") > 0)
+
+
+def latest_complete(manifest: DataFrame, tables: Sequence[str]) -> DataFrame:
+    """The greatest (year, round) that has every table, as one row."""
+    best = complete_in(manifest, tables).agg(F.max(F.struct("year", "round")).alias("m"))
+    return best.where("m is not null").select("m.year", "m.round")
+
+
 def partition_keys(df: DataFrame) -> DataFrame:
     return df.select("year", "round", "session").distinct()
 
@@ -126,6 +172,7 @@ def load_sources(
 ) -> dict[str, DataFrame]:
     """Race-session tables, restricted to partitions that have all of them.
 
+    Which partitions those are is read from the manifests, not from the tables.
     The path columns are dropped once they have done their work.
 
     Raises ``FileNotFoundError`` if nothing matches.
@@ -141,7 +188,10 @@ def load_sources(
         if all(df.isEmpty() for df in found.values()):
             raise FileNotFoundError(f"no race-session partitions {where}")
         return {t: df.drop(*PATH_COLUMNS) for t, df in found.items()}
-    keys = small_side(complete_partitions(found))
+    if layout == "session":
+        keys = small_side(complete_partitions(found))
+    else:
+        keys = small_side(complete_in(partition_manifest(spark, root, tables, years), tables))
     if keys.isEmpty():
         raise FileNotFoundError(f"no complete race-session partitions {where}")
     return {

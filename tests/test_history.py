@@ -91,7 +91,7 @@ def test_rows_without_entity_get_nulls(spark):
 
 def test_hot_entities_ignores_nulls(spark):
     df = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [(None,)] * 9, "entity string")
-    assert hot_entities(df, "entity", 3) == ["a"]
+    assert [r.entity for r in hot_entities(df, "entity", 3).collect()] == ["a"]
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

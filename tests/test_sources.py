@@ -187,3 +187,32 @@ def test_split_takes_later_seasons_into_training(spark):
     train, test = split_by_season(df, 2024)
     assert rows(train.distinct(), "year") == [(2023,), (2025,)] and test.count() == 2
     assert split_by_season(df, 2030)[1].isEmpty()
+
+
+def test_completeness_is_read_from_manifests_alone(spark, clean_root):
+    manifest = tables.partition_manifest(spark, clean_root, tables.CORE_TABLES)
+    for df in (tables.complete_in(manifest, tables.CORE_TABLES), tables.missing_in(manifest, tables.CORE_TABLES)):
+        files = df.inputFiles()
+        assert files and all("/_manifest/" in f for f in files)
+        assert "/_manifest/" in df._jdf.queryExecution().executedPlan().toString()
+    assert tables.complete_in(manifest, tables.CORE_TABLES).count() == 6
+    assert {r["table"]: r["n"] for r in manifest.groupBy("table").agg(F.sum("n").alias("n")).collect()} == {
+        "session_info": 6, "driver_info": 12, "session_results": 12, "laps": 24
+    }
+
+
+def test_manifest_follows_writes_and_may_be_absent(spark, clean_root, tmp_path):
+    root, core = str(tmp_path / "grown"), tables.CORE_TABLES
+    laps = tables.read_table(spark, clean_root, "laps").drop("round", "session")
+    sinks.write_table(laps.where("year = 2024"), root, "laps")
+    sinks.write_table(laps.where("year = 2025 and round_number = 1"), root, "laps")
+    held = tables.partition_manifest(spark, root, ["laps"])
+    assert held.count() == 4 and tables.partition_manifest(spark, root, ["laps"], years=[2025]).count() == 1
+    plain = str(tmp_path / "plain")
+    spark.read.parquet(f"{clean_root}/laps").write.partitionBy("year", "round", "session").parquet(f"{plain}/laps")
+    both = tables.partition_manifest(spark, plain, ["laps", "weather"])
+    assert both.count() == 6 and tables.complete_in(both, ["laps", "weather"]).isEmpty()
+    assert {tuple(r["missing"]) for r in tables.missing_in(both, ["laps", "weather"]).collect()} == {("weather",)}
+    full = tables.partition_manifest(spark, clean_root, core)
+    assert tuple(tables.latest_complete(full, core).first()) == (2025, 3)
+    assert tables.latest_complete(full.where("n < 0"), core).isEmpty()
