@@ -53,11 +53,11 @@ from .columns import stored
 CHUNK = 1 << 16
 FAN = 8
 #: Bytes of text that are encoded at once; tokens take some hundred bytes each while encoding.
-AT_ONCE = 1 << 19
+AT_ONCE = 1 << 17
 #: Segments of a generation that a worker keeps, about 300 bytes each.
 KNOWN = 1 << 17
 #: Linked pairs (counted once a text) after which a block is closed.
-BLOCK_PAIRS = 1 << 19
+BLOCK_PAIRS = 1 << 18
 BLOCK_ROWS = 4096
 _SHIFT = 32
 
