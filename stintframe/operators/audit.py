@@ -12,9 +12,9 @@ from pyspark.sql import types as T
 
 from ..functions.scalars import correlation_p_value, significance_marker
 from ..schemas import LEAKAGE_REGISTRY, quoted
-from ..session import scratch_path, small_side
+from ..session import small_side, stored
 from .metrics import spearman
-from .ordering import average_ranks, exact_quantiles, value_counts
+from .ordering import exact_quantiles, running_sums
 
 MIN_PAIRS = 30
 HIGH_CORRELATION = 0.85
@@ -153,46 +153,50 @@ def _melt_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
 def spearman_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pairwise-complete Spearman matrix, upper triangle, as (c1, c2, rho, n).
 
-    Columns without nulls have one ranking for all their pairs, so each is
-    ranked once. Only pairs with a null somewhere need a ranking of their own.
+    A value's rank depends on the partner column, whose nulls leave rows out. So
+    each (column, value) is counted once for every partner, in one pass, and the
+    running sums of these counts rank it against all partners at once. The rows
+    then meet the rank vectors of their values in one join, and one aggregate
+    adds up the products of all pairs. The number of shuffles does not depend on
+    the number of columns. Pairs without a common row are left out.
     """
-    pairs = list(combinations(columns, 2))
-    row = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(f"c{i}") for i, c in enumerate(columns)]).first()
-    full = [c for i, c in enumerate(columns) if row[f"c{i}"] == 0]
-    shared = [p for p in pairs if p[0] in full and p[1] in full]
-    own = [p for p in pairs if p not in shared]
-    parts = []
-    if shared:
-        parts.append(_shared_rank_pairs(df, full, shared))
-    if own:
-        found = spearman(_melt_pairs(df, own), "x", "y", ["c1", "c2"], safe=False)
-        parts.append(found.withColumnRenamed("Spearman_rho", "rho"))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _shared_rank_pairs(df: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Correlation of ranks for columns without nulls, all pairs in one aggregate."""
-    spark = df.sparkSession
-    names = {c: f"v{i}" for i, c in enumerate(columns)}
-    ranked = df.select(*[F.col(quoted(c)).cast("double").alias(n) for c, n in names.items()])
-    ranks = average_ranks(value_counts(ranked, [], list(names.values())), ["column"], "value")
-    path = scratch_path(spark, "ranks")
-    ranks.select("column", "value", "centred").write.partitionBy("column").parquet(path)
-    stored = spark.read.parquet(path)
-    for n in names.values():
-        one = stored.where(F.col("column") == n).select(F.col("value").alias(n), F.col("centred").alias(f"r{n}"))
-        ranked = ranked.join(one, n).drop(n)
-    sums = ranked.agg(
-        F.count("*").alias("n"),
-        *[F.sum(F.col(f"r{n}") * F.col(f"r{n}")).alias(f"s{n}") for n in names.values()],
-        *[F.sum(F.col(f"r{names[a]}") * F.col(f"r{names[b]}")).alias(f"x{i}") for i, (a, b) in enumerate(pairs)],
+    k, pairs = len(columns), list(combinations(range(len(columns)), 2))
+    values = [F.col(quoted(c)).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]
+    narrow = stored(df.select(F.monotonically_increasing_id().alias("row"), *values), "columns")
+    here = F.array(*[F.col(f"v{i}").isNotNull().cast("long") for i in range(k)])
+    cells = F.array(*[F.struct(F.lit(i).alias("c"), F.col(f"v{i}").alias("v")) for i in range(k)])
+    melted = narrow.select("row", here.alias("here"), F.explode(cells).alias("x")).select("row", "here", "x.c", "x.v")
+    melted = melted.where("v is not null")
+    weights = [f"n{j}" for j in range(k)]
+    counts = melted.groupBy("c", "v").agg(*[F.sum(F.get("here", F.lit(j))).alias(w) for j, w in enumerate(weights)])
+    rank = lambda w: F.col(f"before_{w}") + (F.col(w) - F.col(f"total_{w}")) / F.lit(2.0)
+    ranks = running_sums(counts, ["c"], ["v"], weights).select(
+        "c", "v", F.array(*[rank(w) for w in weights]).alias("r"), *weights, *[f"total_{w}" for w in weights]
     )
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        spread = F.sqrt(F.col(f"s{names[a]}") * F.col(f"s{names[b]}"))
-        rho = F.when(spread > 0, F.col(f"x{i}") / spread)
-        cells.append(F.struct(F.lit(a).alias("c1"), F.lit(b).alias("c2"), rho.alias("rho"), F.col("n").alias("n")))
-    return sums.select(F.explode(F.array(*cells)).alias("v")).select("v.*")
+    ranks = stored(ranks, "ranks")
+    spread = lambda j: F.sum(F.col(f"n{j}") * F.pow(F.get("r", F.lit(j)), 2))
+    spreads = ranks.groupBy("c").agg(
+        F.array(*[spread(j) for j in range(k)]).alias("s"), F.array(*[F.first(f"total_n{j}") for j in range(k)]).alias("t")
+    )
+    sides = spreads.agg(F.map_from_entries(F.collect_list(F.struct("c", F.struct("s", "t")))).alias("side"))  # k entries
+    vectors = melted.join(ranks.select("c", "v", "r"), ["c", "v"]).groupBy("row")
+    vectors = vectors.agg(F.map_from_entries(F.collect_list(F.struct("c", "r"))).alias("of"))  # at most k entries
+    at = lambda i, j: F.get(F.element_at("of", F.lit(i)), F.lit(j))
+    gram = vectors.agg(*[F.sum(at(i, j) * at(j, i)).alias(f"x{p}") for p, (i, j) in enumerate(pairs)])
+
+    def cell(p: int, i: int, j: int) -> Column:
+        a, b = F.element_at("side", F.lit(i)), F.element_at("side", F.lit(j))
+        both = F.sqrt(F.get(a["s"], F.lit(j)) * F.get(b["s"], F.lit(i)))
+        return F.struct(
+            F.lit(columns[i]).alias("c1"),
+            F.lit(columns[j]).alias("c2"),
+            F.when(both > 0, F.col(f"x{p}") / both).alias("rho"),
+            F.get(a["t"], F.lit(j)).alias("n"),
+        )
+
+    out = gram.join(F.broadcast(sides))  # one row each
+    out = out.select(F.explode(F.array(*[cell(p, i, j) for p, (i, j) in enumerate(pairs)])).alias("v")).select("v.*")
+    return out.where("n > 0")
 
 
 def high_correlations(pairs: DataFrame, limit: float = HIGH_CORRELATION) -> DataFrame:

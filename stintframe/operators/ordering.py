@@ -70,6 +70,31 @@ def running_before(
     )
 
 
+def running_sums(df: DataFrame, group: Sequence[str], order: Sequence[str], weights: Sequence[str]) -> DataFrame:
+    """``running_before`` for several weights at once: adds ``before_<w>`` and ``total_<w>`` for each."""
+    chunks = range_chunks(df, [*group, *order])
+    by_group = Window.partitionBy(*_cols(group))
+    earlier = by_group.orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = chunks.groupBy(*_cols(group), CHUNK).agg(*[F.sum(w).alias(f"__sum_{w}") for w in weights])
+    offsets = offsets.select(
+        *_cols(group),
+        CHUNK,
+        *[F.coalesce(F.sum(f"__sum_{w}").over(earlier), F.lit(0)).alias(f"__offset_{w}") for w in weights],
+        *[F.sum(f"__sum_{w}").over(by_group).alias(f"total_{w}") for w in weights],
+    )
+    inside = (
+        Window.partitionBy(*_cols(group), CHUNK)
+        .orderBy(*_cols(order))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    return (
+        chunks.select("*", *[F.sum(w).over(inside).alias(f"__upto_{w}") for w in weights])
+        .join(offsets, [*group, CHUNK])
+        .withColumns({f"before_{w}": F.col(f"__upto_{w}") - F.col(w) + F.col(f"__offset_{w}") for w in weights})
+        .drop(CHUNK, *[f"__{k}_{w}" for k in ("upto", "offset") for w in weights])
+    )
+
+
 def sorted_codes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct values of each text column with their 0-based sorted rank."""
     melted = df.select(

@@ -341,3 +341,20 @@ def test_inflation_factors_of_degenerate_columns(spark):
 def test_importance_share_of_a_zero_total(spark):
     df = spark.createDataFrame([("x", 0.0), ("y", 0.0)], "feature string, importance double")
     assert [r.importance_share for r in audit.importance_share(df).collect()] == [0.0, 0.0]
+
+
+def test_rank_matrix_shuffles_alike_for_any_number_of_columns(wide):
+    _, df = wide
+    wider = df.select("*", *[(F.col("a") * k + F.col("b")).alias(f"d{k}") for k in range(4)])
+    counts = {
+        audit.spearman_pairs(part, part.columns)._jdf.queryExecution().executedPlan().toString().count("Exchange")
+        for part in (df.select("a", "b"), df, wider)
+    }
+    assert len(counts) == 1
+
+
+def test_selection_keeps_features_of_either_table(spark):
+    importance = spark.createDataFrame([("a", 9.0), ("b", 1.0)], "feature string, importance double")
+    vif = spark.createDataFrame([("b", 20.0), ("c", 30.0)], "feature string, VIF double")
+    got = {r.feature: (r.VIF, r.drop) for r in audit.select_features(importance, vif).collect()}
+    assert got == {"a": (None, False), "b": (20.0, True), "c": (30.0, False)}
