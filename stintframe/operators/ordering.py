@@ -15,10 +15,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import quoted
-from ..session import durable, small_side
+from ..session import durable, small_side, stored
 
 CHUNK = "__chunk"
 
+#: Accuracy of the quantile sketch: its rank error is at most the row count over this.
+SKETCH = 10_000
+
 
 def _cols(names: Sequence[str]) -> list[Column]:
     return [F.col(quoted(n)) for n in names]
@@ -133,6 +136,62 @@ def value_counts(df: DataFrame, group: Sequence[str], columns: Sequence[str]) ->
     )
 
 
+def quantile_brackets(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], group: Sequence[str] = ()
+) -> DataFrame:
+    """(group, __ends_<i>): values around each probability of column ``i``, low ends first, then high ends.
+
+    One pass with a mergeable quantile sketch per (group, column). The ends lie two
+    sketch errors off the probability, so the exact quantile is between them.
+    """
+    margin = 2.0 / SKETCH
+    at = [min(1.0, max(0.0, p + shift)) for shift in (-margin, margin) for p in probs]
+    return df.groupBy(*_cols(group)).agg(
+        *[
+            F.percentile_approx(F.col(quoted(c)).cast("double"), at, SKETCH).alias(f"__ends_{i}")
+            for i, c in enumerate(columns)
+        ]
+    )
+
+
+def bracketed_counts(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], group: Sequence[str] = ()
+) -> DataFrame:
+    """(group, column, at, run, n, least, most): values inside a bracket singly, those between as one run.
+
+    A run stands right after the bracket below it (``at``), so (at, run) is the order
+    of the values. Per (group, column) a map task sends at most the distinct values
+    inside the brackets and one row per run.
+    """
+    brackets = quantile_brackets(df, columns, probs, group)
+    if group:
+        # Parquet, so that Spark knows its size and chooses the join by it.
+        df = df.join(stored(brackets, "brackets"), list(group))
+        ends = [F.col(f"__ends_{i}") for i in range(len(columns))]
+    else:
+        row = brackets.first()
+        ends = [F.lit(row[i]).cast("array<double>") for i in range(len(columns))]
+    k = len(probs)
+    melted = []
+    for c, e in zip(columns, ends):
+        value = F.col(quoted(c)).cast("double")
+        single = F.lit(False)
+        for j in range(k):
+            single = single | value.between(F.get(e, F.lit(j)), F.get(e, F.lit(k + j)))
+        below = [F.when(value > F.get(e, F.lit(k + j)), F.get(e, F.lit(k + j))) for j in range(k)]
+        at = F.when(single, value).otherwise(F.greatest(F.lit(float("-inf")), *below))
+        melted.append(
+            F.struct(F.lit(c).alias("column"), value.alias("value"), at.alias("at"), (~single).alias("run"))
+        )
+    return (
+        df.select(*_cols(group), F.explode(F.array(*melted)).alias("__v"))
+        .select(*_cols(group), "__v.*")
+        .where("value is not null")
+        .groupBy(*_cols(group), "column", "at", "run")
+        .agg(F.count("*").alias("n"), F.min("value").alias("least"), F.max("value").alias("most"))
+    )
+
+
 def exact_quantiles(
     df: DataFrame,
     columns: Sequence[str],
@@ -141,22 +200,42 @@ def exact_quantiles(
 ) -> DataFrame:
     """Exact linearly interpolated quantiles per (group, column).
 
-    ``probs`` maps an output name to its probability. Values are counted first,
-    so a value shared by most rows is one row from there on, and no task holds
-    the values of a whole group.
+    ``probs`` maps an output name to its probability. Two passes over ``df``: a
+    sketch brackets each quantile, then rows are counted outside the brackets and
+    value by value inside, so only values near a quantile are sorted. Should a
+    quantile lie outside its bracket, all values are counted singly.
     """
     keys = [*group, "column"]
-    placed = running_before(value_counts(df, group, columns), keys, ["value"], "n")
+    found = durable(_selected(bracketed_counts(df, columns, list(probs.values()), group), keys, probs))
+    lost = F.lit(False)
+    for name in probs:
+        lost = lost | F.col(name).isNull()
+    if not found.where(lost).isEmpty():
+        value = F.col("value")
+        counts = value_counts(df, group, columns).select(
+            *_cols(keys), value.alias("at"), F.lit(False).alias("run"), "n", value.alias("least"), value.alias("most")
+        )
+        found = _selected(counts, keys, probs)
+    return found
+
+
+def _selected(counts: DataFrame, keys: Sequence[str], probs: dict[str, float]) -> DataFrame:
+    """Quantiles from ordered runs of values; null where one lies inside a run."""
+    placed = running_before(counts, keys, ["at", "run"], "n")
     ranks = {name: F.lit(float(p)) * (F.col("total") - 1) for name, p in probs.items()}
 
     def value_at(index: Column) -> Column:
+        first = F.when(index == F.col("before"), F.col("least"))
+        return F.max(F.coalesce(first, F.when(index == F.col("before") + F.col("n") - 1, F.col("most"))))
+
+    def single_at(index: Column) -> Column:
         here = (F.col("before") <= index) & (index < F.col("before") + F.col("n"))
-        return F.max(F.when(here, F.col("value")))
+        return F.max(F.when(here & (F.col("least") == F.col("most")), F.col("least")))
 
     picked = placed.groupBy(*_cols(keys)).agg(
         F.max("total").alias("n"),
-        *[value_at(F.floor(h)).alias(f"__lo_{name}") for name, h in ranks.items()],
-        *[value_at(F.ceil(h)).alias(f"__hi_{name}") for name, h in ranks.items()],
+        *[F.coalesce(value_at(F.floor(h)), single_at(F.floor(h))).alias(f"__lo_{name}") for name, h in ranks.items()],
+        *[F.coalesce(value_at(F.ceil(h)), single_at(F.ceil(h))).alias(f"__hi_{name}") for name, h in ranks.items()],
     )
     out = [*_cols(keys), F.col("n")]
     for name, p in probs.items():

@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from stintframe.operators import ordering
 from stintframe.operators.frame import add_lag_features, season_leaks, team_history, team_race_mean
 from stintframe.operators.history import add_history, hot_entities
 from stintframe.operators.ordering import (
@@ -168,6 +169,67 @@ def test_quantiles_match_pandas_with_a_hot_value(spark):
         assert r.n == v.notna().sum()
 
 
+def skewed(seed, n=4000):
+    rng = np.random.default_rng(seed)
+    a = np.where(rng.random(n) < 0.35, 7.0, rng.normal(size=n) * 50)
+    b = np.where(rng.random(n) < 0.1, np.nan, rng.exponential(size=n))
+    return pd.DataFrame({"g": rng.integers(0, 2, n), "a": a, "b": b, "none": np.nan})
+
+
+def frame_of(spark, pdf):
+    values = [tuple(None if pd.isna(v) else v for v in r) for r in pdf.astype(object).to_numpy()]
+    return spark.createDataFrame(values, "g int, a double, b double, none double").repartition(5)
+
+
+PROBS = {"lowest": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "highest": 1.0}
+
+
+@pytest.mark.parametrize("group", [(), ("g",)])
+def test_coarse_sketch_still_gives_exact_quantiles(spark, monkeypatch, group):
+    monkeypatch.setattr(ordering, "SKETCH", 100)
+    pdf = skewed(11)
+    got = exact_quantiles(frame_of(spark, pdf), ["a", "b", "none"], PROBS, list(group)).collect()
+    assert len(got) == (4 if group else 2)  # a column without values has no row
+    for r in got:
+        v = pdf[pdf["g"] == r.g][r["column"]] if group else pdf[r["column"]]
+        assert r.n == v.notna().sum()
+        assert [r[p] for p in PROBS] == pytest.approx([v.quantile(q) for q in PROBS.values()], rel=1e-12)
+
+
+def test_only_values_near_a_quantile_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(ordering, "SKETCH", 100)
+    counts = ordering.bracketed_counts(frame_of(spark, skewed(12)), ["b"], [0.5]).collect()
+    singles = [r for r in counts if not r.run]
+    assert len([r for r in counts if r.run]) == 2 and 0 < len(singles) < 400
+    assert all(r.least == r.most == r["at"] for r in singles)
+    assert sum(r.n for r in counts) == skewed(12)["b"].notna().sum()
+
+
+def test_quantile_outside_its_bracket_is_found_among_all_values(spark, monkeypatch):
+    right = ordering.quantile_brackets
+
+    def wrong(df, columns, probs, group=()):
+        return right(df, columns, [0.9 for _ in probs], group)
+
+    monkeypatch.setattr(ordering, "quantile_brackets", wrong)
+    pdf = skewed(13)
+    for r in exact_quantiles(frame_of(spark, pdf), ["a", "b"], {"median": 0.5}).collect():
+        assert r.median == pytest.approx(pdf[r["column"]].median(), rel=1e-12)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.integers(-5, 5), min_size=1, max_size=12), p=st.sampled_from([0.0, 0.1, 0.25, 0.5, 0.9, 1.0]))
+def test_any_short_list_has_its_exact_quantile(spark, values, p):
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    assert exact_quantiles(df, ["v"], {"q": p}).first().q == pytest.approx(np.quantile(values, p))
+
+
+def test_quantiles_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "g int, v double")
+    assert exact_quantiles(df, ["v"], {"m": 0.5}).count() == 0
+    assert exact_quantiles(df, ["v"], {"m": 0.5}, ["g"]).count() == 0
+
+
 def test_ranks_and_codes(spark):
     counts = spark.createDataFrame([(0, 1.0, 2), (0, 3.0, 1), (0, 2.0, 3)], "g int, v double, n long")
     assert rows(average_ranks(counts, ["g"], "v"), "v", "rank", "centred") == [(1.0, 1.5, -2.0), (2.0, 4.0, 0.5), (3.0, 6.0, 2.5)]
