@@ -367,6 +367,12 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
 
 
 def first_of_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id."""
-    firsts = link_components(docs, k, percent).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(firsts, "doc_id", "left_semi").select(docs.columns)
+    """``docs`` with one document of each group of near copies: the one with the smallest id.
+
+    Rows that share a doc_id are one document: they stay or go together. A row
+    without a doc_id cannot be named by a group, so it stays.
+    """
+    named = docs.where(F.col("doc_id").isNotNull())
+    firsts = link_components(named, k, percent).where("doc_id = component_id").select("doc_id").distinct()
+    kept = named.join(firsts, "doc_id", "left_semi").select(docs.columns)
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))

@@ -201,6 +201,6 @@ def verdicts(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their own columns."""
-    names = docs.columns
-    return judge(docs, names).where("kept").select(names)
+    """The rows of ``docs`` that the rules keep, with their own columns, whatever their names."""
+    apart = docs.select(F.struct("*").alias("__row"), "text", "lang", "source")
+    return judge(apart, ["__row"]).where("kept").select("__row.*")

@@ -11,9 +11,10 @@ window is compared with the threshold of the candidate's character class.
 Matches have no positions in Spark SQL, so they are taken from the lengths of the
 pieces between matches. Positions are code points, the end is exclusive.
 
-Allow list: candidates that are plain words (no digit, or one letter case and few
-digits), web or mail addresses, UUIDs, dates, or hold a known dummy value are no
-findings of the entropy scan; neither are those inside a base span.
+Allow list: candidates without a digit or without a letter, words joined by one
+sign each that end in at most eight digits, UUIDs, and candidates that hold a known
+dummy value are no findings of the entropy scan; neither are those inside a base
+span. Addresses and paths have no rule of their own.
 
 A null text counts as empty. Texts without findings return zero counts and empty
 strings. Repeated rows are scanned one by one.
@@ -176,7 +177,11 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every span replaced by ``mark``; overlapping spans get one mark."""
+    """``docs`` with every span replaced by ``mark``; overlapping spans get one mark.
+
+    ``text`` and, if there is one, ``n_chars`` are made anew; all other columns stay,
+    whatever their names.
+    """
 
     def step(a: Column, s: Column) -> Column:
         fresh = s["start"] >= a["at"]
@@ -192,5 +197,8 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         step,
         lambda a: F.concat(a["out"], F.substring(F.col("text"), a["at"] + 1, F.length("text"))),
     )
-    found = scan(docs).withColumn("text", F.when(F.size("spans") > 0, cleaned).otherwise(F.col("text")))
-    return found.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    found = scan(docs.select(F.struct("*").alias("__row"), "text"))
+    found = found.withColumn("text", F.when(F.size("spans") > 0, cleaned).otherwise(F.col("text")))
+    made = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    row = F.col("__row")
+    return found.select(*(made.get(c, row.getField(c)).alias(c) for c in docs.columns))

@@ -366,3 +366,46 @@ def test_pipeline_stages(spark, docs):
     assert {0, 3, 11, 12, 15} <= set(kept) and not {1, 2, 5, 6, 14} & set(kept)
     packed = corpus_pipeline.STAGES[-1][1](spark, step, "")
     assert {r.doc_id for r in packed.collect()} == set(kept)
+
+
+def clashing(docs):
+    """Columns named like those the operators work with, and a row without an id."""
+    from pyspark.sql import functions as F
+
+    wide = docs.selectExpr("*", "-doc_id as n_words", "'b' as base", "'s' as spans", "'k' as kept", "'l' as __lang", "'m' as m_symbols", "7L as start", "9L as n")
+    return wide.withColumn("doc_id", F.when(F.col("doc_id") != 26, F.col("doc_id")))
+
+
+@pytest.mark.parametrize(
+    "stage", [quality.kept_documents, secret_scan.redact, jaccard.first_of_groups, passages.without_repeats]
+)
+def test_stages_keep_columns_of_any_name(docs, stage):
+    wide = clashing(docs)
+    plain = {r.doc_id: r.text for r in stage(docs).collect()}
+    got = stage(wide)
+    assert got.columns == wide.columns and dict(got.dtypes) == dict(wide.dtypes)
+    rows = got.collect()
+    assert {26 if r.doc_id is None else r.doc_id: r.text for r in rows} == plain and len(rows) == len(plain)
+    assert all((r.base, r.spans, r.kept, r["__lang"], r.m_symbols, r.start, r.n) == ("b", "s", "k", "l", "m", 7, 9) for r in rows)
+    assert all(r.n_words == (-26 if r.doc_id is None else -r.doc_id) for r in rows)
+
+
+def test_rows_of_one_id_keep_their_texts(docs, spark):
+    shared = prose(3, 60)
+    extra = [(12, prose(60, 30), "en", "s", 0), (None, shared, "en", "s", 0)]
+    got = passages.without_repeats(docs.unionByName(spark.createDataFrame(extra, SCHEMA))).collect()
+    assert sorted(r.text for r in got if r.doc_id == 12) == sorted([corpus()[12][1], prose(60, 30)])
+    assert [r.text for r in got if r.doc_id is None] == [shared]
+    assert {r.doc_id: r.text for r in got}[1] != corpus()[1][1]
+
+
+def test_quality_sketches_of_parts_merge(docs):
+    """Sketches of any split of the rows add up to the sketch of all."""
+    from pyspark.sql import functions as F
+
+    measured = quality.measure(docs.withColumns({"__lang": F.col("lang"), "__source": F.col("source")}))
+    keys = ["__lang", "__source", "rule", "bucket"]
+    parts = quality.sketches(measured.where("doc_id % 3 = 0")).unionByName(quality.sketches(measured.where("doc_id % 3 > 0")))
+    merged = parts.groupBy(*keys).agg(F.sum("n").alias("n"))
+    as_set = lambda df: {tuple(r) for r in df.select(*keys, "n").collect()}
+    assert as_set(merged) == as_set(quality.sketches(measured))
