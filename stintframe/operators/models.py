@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import year_label
 from ..schemas import FINAL_FEATURES, TARGET, quoted
 from ..session import durable, path_exists, scratch_path
+from ..sources.sinks import read_seasons, write_seasons
 from .metrics import METRICS, mean_absolute_error, score
 from .search import STARTUP_TRIALS, WARMUP_STEPS, run_study
 
@@ -100,6 +101,13 @@ def season_list(df: DataFrame) -> list[int]:
     return [r["year"] for r in df.select("year").distinct().orderBy("year").collect()]
 
 
+def fold_store(data: DataFrame, label: str = TARGET) -> DataFrame:
+    """Feature vectors and label of ``data`` in a season store of the shared folder."""
+    narrow = data.select(F.col("year").cast("int").alias("year"), F.col(quoted(label)), "features")
+    path = write_seasons(narrow, scratch_path(data.sparkSession, "folds"))
+    return read_seasons(data.sparkSession, path, narrow.schema)
+
+
 def expanding_folds(df: DataFrame) -> DataFrame:
     """(fold, train_years, val_year, n_train, n_val): fold i validates season i on all before."""
     per_year = df.groupBy("year").agg(F.count("*").alias("n"))
@@ -121,10 +129,12 @@ def expanding_folds(df: DataFrame) -> DataFrame:
 def cross_validate(data: DataFrame, make_model: MakeModel, label: str = TARGET, parallel: int = 2) -> DataFrame:
     """Fold table of an expanding-window validation over the seasons.
 
-    ``data`` holds the feature vector and should be persisted; each fold is an
-    independent Spark fit, submitted from a small thread pool. All folds are
-    scored together in one grouped pass.
+    ``data`` holds the feature vector. Vectors and label are written once, by season,
+    so a fold opens the files of its seasons only. Each fold is an independent Spark
+    fit, submitted from a small thread pool. All folds are scored together in one
+    grouped pass.
     """
+    data = fold_store(data, label)
     years = season_list(data)
 
     def run(i: int) -> DataFrame:

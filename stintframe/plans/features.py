@@ -30,7 +30,7 @@ from ..schemas import (
     quoted,
 )
 from ..session import durable, small_side
-from ..sources.sinks import write_parquet
+from ..sources.sinks import read_seasons, write_seasons
 from ..sources.tables import load_sources
 from .ingest import run_ingestion
 
@@ -166,20 +166,21 @@ def run_feature_engineering(
     layout: str = "table",
     **options,
 ) -> str:
-    """Read, build, write the matrix and, if asked, the parameters."""
+    """Read, build, write the matrix by season and, if asked, the parameters."""
     tables = load_sources(spark, data_root, years, layout=layout)
     matrix, fitted = build_features(tables, **options)
-    write_parquet(matrix, output_path)
+    write_seasons(matrix, output_path)
     if preprocessors_path is not None:
         fitted.write(preprocessors_path)
     return output_path
 
 
 def split_train_test(spark: SparkSession, features_path: str, out_dir: str, *, test_year: int = 2025) -> tuple[DataFrame, DataFrame]:
-    train, test = split_by_season(spark.read.parquet(features_path), test_year)
-    write_parquet(train, f"{out_dir}/train")
-    write_parquet(test, f"{out_dir}/test")
-    return spark.read.parquet(f"{out_dir}/train"), spark.read.parquet(f"{out_dir}/test")
+    """Write ``train`` and ``test`` as season stores; from a season store each season is read once."""
+    matrix = spark.read.parquet(features_path)
+    parts = zip(("train", "test"), split_by_season(matrix, test_year))
+    train, test = (read_seasons(spark, write_seasons(df, f"{out_dir}/{name}"), matrix.schema) for name, df in parts)
+    return train, test
 
 
 def run_modules(

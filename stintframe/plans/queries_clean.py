@@ -174,8 +174,9 @@ def s9(spark, sf):
 
 @query("s10_feature_sink", with_parts("lagged", "SELECT dn AS driver_number, pos AS race_position, round(ewm, 6) AS ewm FROM lagged"))
 def s10(spark, sf):
-    path = sinks.write_parquet(st.race_table(spark, sf), scratch_path(spark, "features"))
-    return cells(sinks.read_parquet(spark, path), {"driver_number": "DriverNumber", "race_position": TARGET, "ewm": "DriverFinish_ewm"})
+    table = st.race_table(spark, sf)
+    path = sinks.write_seasons(table, scratch_path(spark, "features"))
+    return cells(sinks.read_seasons(spark, path, table.schema), {"driver_number": "DriverNumber", "race_position": TARGET, "ewm": "DriverFinish_ewm"})
 
 
 @query(

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ..schemas import ALL_TABLES, CIRCUIT, KEY_FIELDS, PARTITION_FIELDS
 from ..session import scratch_path
-from ..sources.sinks import write_parquet, write_table
+from ..sources.sinks import read_seasons, write_parquet, write_seasons, write_table
 from .features import build_features, lagged_frame
 
 RENAMES = {f"NATION_{i}": f"NATION_{i - 20}" for i in range(20, 25)}
@@ -199,7 +199,7 @@ def matrix(spark: SparkSession, sf_dir: str):
 
     def make():
         df, fitted = build_features(tables(spark, sf_dir), test_year=TEST_YEAR, **LAG_OPTIONS)
-        path = write_parquet(df, scratch_path(spark, "matrix"))
-        return spark.read.parquet(path), fitted
+        path = write_seasons(df, scratch_path(spark, "matrix"))
+        return read_seasons(spark, path, df.schema), fitted
 
     return _once(spark, sf_dir, "matrix", make)

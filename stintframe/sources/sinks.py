@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schemas import PARTITION_FIELDS
+from ..schemas import PARTITION_FIELDS, quoted
 
 MANIFEST = "_manifest"
 PARTITION_SCHEMA = T.StructType([T.StructField("year", T.IntegerType()), *PARTITION_FIELDS])
@@ -70,6 +70,22 @@ def write_parquet(df: DataFrame, path: str) -> str:
     return path
 
 
+def write_seasons(df: DataFrame, path: str) -> str:
+    """Season store: Parquet with a folder per season, so that season filters prune files.
+
+    Rows are rebalanced by season: a small one becomes one file, a huge one is split.
+    """
+    df.hint("rebalance", "year").write.partitionBy("year").mode("overwrite").option("compression", "snappy").parquet(path)
+    return path
+
+
+def read_seasons(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A season store, with the columns and their order as in ``schema`` if given."""
+    if schema is None:
+        return spark.read.parquet(path)
+    return spark.read.schema(schema).parquet(path).select(*[F.col(quoted(c)) for c in schema.names])
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -239,6 +239,16 @@ def test_cross_validation_beats_the_mean(season_rows):
     assert summary["mean"].MAE == pytest.approx(np.mean([r.MAE for r in got])) and summary["std"].MAE == pytest.approx(np.std([r.MAE for r in got], ddof=1))
 
 
+def test_folds_open_the_files_of_their_seasons(season_rows):
+    held = models.fold_store(season_rows, "y")
+    assert held.columns == ["year", "y", "features"] and held.count() == season_rows.count()
+    for fold, files in ((held.where("year < 2022"), 2), (held.where("year = 2023"), 1)):
+        scan = fold._jdf.queryExecution().executedPlan()
+        assert "PartitionFilters: [isnotnull(year" in scan.toString()
+        fold.count()
+        assert len({r.f for r in fold.selectExpr("input_file_name() as f").distinct().collect()}) == files
+
+
 def test_fit_score_overfit_and_importance(spark, season_rows):
     make = lambda: models.boosted_trees({"max_depth": 3, "learning_rate": 0.3}, label="y", max_iter=8)
     train, test = season_rows.where("year < 2023"), season_rows.where("year = 2023")

@@ -1,12 +1,13 @@
 from __future__ import annotations
 
 import json
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from stintframe.plans.features import run_feature_engineering, run_modules, split_train_test
+from stintframe.plans.features import run_feature_engineering, run_modules, split_by_season, split_train_test
 from stintframe.plans.ingest import run_ingestion
 from stintframe.sources import sinks, tables
 
@@ -180,9 +181,34 @@ def test_modules_end_to_end(spark, clean_root, tmp_path):
         run_modules(spark, land, out, module="x")
 
 
-def test_split_takes_later_seasons_into_training(spark):
-    from stintframe.plans.features import split_by_season
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_season_store_prunes_files_and_keeps_the_schema(spark, tmp_path):
+    df = spark.createDataFrame([(1, 2023, "a"), (2, 2024, None), (3, 2024, "c"), (4, 2025, "d"), (5, None, "e")], "id int, year int, `x.y` string")
+    path = sinks.write_seasons(df, str(tmp_path / "store"))
+    back = sinks.read_seasons(spark, path, df.schema)
+    assert back.columns == df.columns and back.dtypes == df.dtypes
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
+    train, test = split_by_season(back, 2024)
+    assert rows(train, "id") == [(1,), (4,)] and rows(test, "id") == [(2,), (3,)]
+    for part in (train, test):
+        assert "PartitionFilters: [isnotnull(year" in plan_of(part) and "DataFilters: []" in plan_of(part)
+    assert len(list((tmp_path / "store" / "year=2024").glob("*.parquet"))) == 1
+
 
+def test_feature_run_writes_a_season_store(spark, clean_root, tmp_path):
+    path = run_feature_engineering(spark, clean_root, str(tmp_path / "features"))
+    train, test = split_train_test(spark, path, str(tmp_path), test_year=2025)
+    for root, seasons in ((path, {"2024", "2025"}), (f"{tmp_path}/train", {"2024"}), (f"{tmp_path}/test", {"2025"})):
+        assert {p.name.removeprefix("year=") for p in Path(root).glob("year=*")} == seasons
+    assert "PartitionFilters: [isnotnull(year" in plan_of(split_by_season(spark.read.parquet(path), 2025)[0])
+    assert train.dtypes == test.dtypes
+    assert split_train_test(spark, path, str(tmp_path / "none"), test_year=1990)[1].count() == 0
+
+
+def test_split_takes_later_seasons_into_training(spark):
     df = spark.createDataFrame([(y,) for y in (2023, 2023, 2024, 2024, 2025, 2025)], "year int")
     train, test = split_by_season(df, 2024)
     assert rows(train.distinct(), "year") == [(2023,), (2025,)] and test.count() == 2
