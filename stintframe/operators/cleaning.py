@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.casts import clean_value, overflows
 from ..schemas import KEY_FIELDS, SESSION_KEYS, TABLE_COLUMNS, quoted
+from ..session import durable
 
 SESSION_INFO_JSON = T.StructType(
     [
@@ -120,10 +121,14 @@ class TableSpec:
         return project(self.shape(landing), self.name)
 
     def clean_valid(self, landing: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Clean rows of the sessions that fit, and the keys of those that do not."""
+        """Clean rows of the sessions that fit, and the keys of those that do not.
+
+        The keys are found once, by a pass over the narrow integer columns alone,
+        and written; cleaning and counting read them from there.
+        """
         rows = self.shape(landing)
         clean = project(rows, self.name)
-        bad = unfit_sessions(rows, self.name)
+        bad = durable(unfit_sessions(rows, self.name))
         return clean.join(bad, SESSION_KEYS, "left_anti"), bad
 
 

@@ -206,11 +206,15 @@ def exact_quantiles(
     quantile lie outside its bracket, all values are counted singly.
     """
     keys = [*group, "column"]
-    found = durable(_selected(bracketed_counts(df, columns, list(probs.values()), group), keys, probs))
-    lost = F.lit(False)
-    for name in probs:
-        lost = lost | F.col(name).isNull()
-    if not found.where(lost).isEmpty():
+    found = _selected(bracketed_counts(df, columns, list(probs.values()), group), keys, probs)
+    if group:
+        found = durable(found)
+        lost = not found.where(" or ".join(f"{quoted(name)} is null" for name in probs)).isEmpty()
+    else:  # a row per column
+        rows = found.collect()
+        lost = any(r[name] is None for r in rows for name in probs)
+        found = df.sparkSession.createDataFrame(rows, found.schema)
+    if lost:
         value = F.col("value")
         counts = value_counts(df, group, columns).select(
             *_cols(keys), value.alias("at"), F.lit(False).alias("run"), "n", value.alias("least"), value.alias("most")

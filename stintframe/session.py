@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 # A side at or below this many rows may be broadcast; above it the join shuffles.
 BROADCAST_ROWS = 500_000
+# And so many bytes of compressed files.
+BROADCAST_BYTES = 64 << 20
 
 
 def local_session(cpus: int | str = 8, name: str = "stintframe") -> SparkSession:
@@ -68,19 +70,25 @@ def durable(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder and cut its lineage.
 
     Used where later steps must all see one and the same computation, such as
-    range chunk numbers, or where a small derived table feeds several joins.
+    range chunk numbers, or where a small derived table feeds several joins. As
+    Parquet it is computed once, and later steps read only their columns.
     """
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return stored(df, "durable")
 
 
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def file_bytes(df: DataFrame) -> int:
+    """Size of the files under a scan, as the optimizer knows it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Materialise a derived join side and mark it for broadcast if it is small.
 
-    The size is measured, not assumed: beyond ``max_rows`` the table is returned
-    without a hint and the join shuffles (with AQE skew handling).
+    The size is measured, not assumed: bytes by the files written, rows by their
+    footers. Beyond either bound the table is returned without a hint and the join
+    shuffles (with AQE skew handling).
     """
-    stored = durable(df)
-    if stored.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(stored)
-    return stored
+    held = durable(df)
+    if file_bytes(held) <= max_bytes and held.count() <= max_rows:
+        return F.broadcast(held)
+    return held

@@ -242,3 +242,15 @@ def test_manifest_follows_writes_and_may_be_absent(spark, clean_root, tmp_path):
     full = tables.partition_manifest(spark, clean_root, core)
     assert tuple(tables.latest_complete(full, core).first()) == (2025, 3)
     assert tables.latest_complete(full.where("n < 0"), core).isEmpty()
+
+
+def test_small_side_is_broadcast_within_both_bounds(spark):
+    from stintframe.session import small_side
+
+    big = spark.range(100)
+    side = spark.range(50).withColumnRenamed("id", "k")
+    held = small_side(side)
+    assert held.count() == 50 and "Parquet" in plan_of(held)
+    hinted = lambda **bounds: "strategy=broadcast" in small_side(side, **bounds)._jdf.queryExecution().analyzed().toString()
+    assert hinted() and not hinted(max_rows=49) and not hinted(max_bytes=10)
+    assert "BroadcastHashJoin" in plan_of(big.join(held, big.id == F.col("k")))
