@@ -12,7 +12,8 @@
    intersection of the sorted hash arrays.
 4. Members of a tile are first held against leaders, in a few rounds; classes that
    are connected already need no comparison, since only the component counts. At
-   the end all pairs of unlike components in a tile are compared.
+   the end all pairs of unlike components in a tile are compared. Large tiles are
+   cut into cells by size band and hash, so that no task holds more than a cell.
 
 A null or empty text has an empty set and is linked with nothing. A text with
 fewer than four words has its whole word sequence as the one shingle. Repeated
@@ -21,11 +22,12 @@ rows are copies. Sets are compared as 64-bit hashes of their shingles.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .columns import stored
@@ -34,8 +36,10 @@ from .hashing import mix, shingles, words
 
 WORDS = 4
 PERCENT = 85
-#: Bitmaps have at least eight bits per shingle, a power of two, this many at least.
+#: Bitmaps have at least two bits per shingle, a power of two, this many at least.
 LEAST_BITS = 1024
+#: Rows of a tile that are compared in one piece, and pairs that a task holds at a time.
+CELL_ROWS, PAIR_ROWS = 4096, 1 << 17
 #: Rounds against leaders before all pairs of unlike components are compared.
 ROUNDS = 3
 #: A token is common when one of so many documents holds it, and at least MANY.
@@ -67,7 +71,7 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    width = max(LEAST_BITS, 1 << (8 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
+    width = max(LEAST_BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
     marks = np.zeros(width, np.uint8)
     marks[(tokens >> np.uint64(20)).astype(np.int64) & (width - 1)] = 1
     return np.packbits(marks).tobytes()
@@ -292,46 +296,111 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return stored(linked(pairs, arrays_of(sets, members), percent), "links")
 
 
-def banded_pairs(tiled: DataFrame, percent: int) -> DataFrame:
-    """Pairs of unlike roots in a tile that sizes and bitmaps allow; tiled: (tile, sid, n, root, bits)."""
+def celled(tiled: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataFrame:
+    """``tiled`` with ``cell`` and ``side``, a row once for each cell it belongs to.
+
+    A tile of up to ``rows`` rows is one cell, side 0: all its pairs. A larger one
+    is cut by size into bands, so wide that sizes that may link lie in one band or
+    in neighbours, and a band by a hash into parts. A cell then holds a part of a
+    band as side 1 and a part of the same or the next band as side 2; pairs are
+    formed between sides. Every pair of near sizes meets in a cell.
+    """
+    width = max(math.log(100 / percent), 1e-9) * 1.0001
+    placed = tiled.withColumn("band", F.floor(F.log("n") / F.lit(width)))
+    large = (
+        placed.groupBy("tile", "band")
+        .agg(F.count("*").alias("m"))
+        .groupBy("tile")
+        .agg(F.sum("m").alias("all"), F.ceil(F.max("m") / rows).cast("long").alias("parts"))
+        .where(F.col("all") > rows)
+        .select("tile", "parts")
+    )
+    placed = placed.join(large, "tile", "left").withColumn("part", F.pmod(F.xxhash64("sid", F.lit(7)), F.col("parts")))
+
+    def role(band: Column, i: Column, j: Column, side: int) -> Column:
+        return F.struct(F.xxhash64("tile", band, i, j).alias("cell"), F.lit(side).alias("side"))
+
+    every = F.sequence(F.lit(0).cast("long"), F.coalesce("parts", F.lit(1)) - 1)
+    roles = F.when(F.col("parts").isNull(), F.array(F.struct(F.col("tile").alias("cell"), F.lit(0).alias("side")))).otherwise(
+        F.concat(
+            F.transform(every, lambda k: role(F.col("band"), F.col("part"), k, 1)),
+            F.transform(every, lambda k: role(F.col("band"), k, F.col("part"), 2)),
+            F.transform(every, lambda k: role(F.col("band") - 1, k, F.col("part"), 2)),
+        )
+    )
+    return placed.withColumn("role", F.explode(roles)).select("role.cell", "role.side", "sid", "n", "root", "bits")
+
+
+def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of complete cells from batches in order of ``cell``; one open cell is held at a time."""
+    held, open_cell = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cell = batch.column("cell").to_numpy()
+        last = int(_runs(cell)[-2])
+        if held and not last and cell[0] == open_cell:
+            held.append(batch)
+            continue
+        ended = pa.Table.from_batches([*held, batch.slice(0, last)])
+        if ended.num_rows:
+            yield ended
+        held, open_cell = [batch.slice(last)], cell[-1]
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def pairs_of_cells(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs that sizes and bitmaps allow; rows of a cell ascend by (n, sid)."""
+    cell, side, sid, n, root = (table.column(c).to_numpy() for c in ("cell", "side", "sid", "n", "root"))
+    bits = table.column("bits").to_pylist()
+    width = np.array([len(x) // 8 for x in bits], np.int64)
+    bounds = _runs(cell)
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        # Sorted by size, so rows of one bitmap width are neighbours.
+        edges = lo + _runs(width[lo:hi])
+        parts = [(s, np.frombuffer(b"".join(bits[s:e]), np.uint64).reshape(e - s, -1)) for s, e in zip(edges[:-1], edges[1:])]
+        # The band of row i ends where sizes exceed n / 0.85.
+        ends = np.searchsorted(n[lo:hi], n[lo:hi] * 100 // percent, side="right") + lo
+        for begin, rows_of_width in parts:
+            for i in range(begin, begin + len(rows_of_width)):
+                if side[i] == 2:
+                    continue
+                for first, others in parts:
+                    j = np.arange(max(i + 1, first), min(ends[i - lo], first + len(others)))
+                    j = j[(root[j] != root[i]) & (side[j] != 1)]
+                    if not len(j):
+                        continue
+                    most = most_common(n[i], n[j], rows_of_width[i - begin], others[j - first])
+                    j = j[100 * most >= percent * (n[i] + n[j] - most)]
+                    if len(j):
+                        yield np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])
+
+
+def banded_pairs(tiled: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataFrame:
+    """Pairs of unlike roots in a tile that sizes and bitmaps allow; tiled: (tile, sid, n, root, bits).
+
+    A task holds one cell and one batch of pairs at a time.
+    """
+
+    def packed(found: list[tuple]) -> pa.RecordBatch:
+        pairs = np.unique(np.stack([np.concatenate(c) for c in zip(*found)]), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[0].copy()), pa.array(pairs[1].copy())], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        parts = [b for b in batches]
-        if not parts:
-            return
-        table = pa.Table.from_batches(parts)
-        tile, sid, n, root = (table.column(c).to_numpy() for c in ("tile", "sid", "n", "root"))
-        order = np.lexsort((n, tile))
-        bits = table.column("bits").to_pylist()
-        bits = [bits[k] for k in order]
-        tile, sid, n, root = tile[order], sid[order], n[order], root[order]
-        width = np.array([len(x) // 8 for x in bits], np.int64)
-        bounds = _runs(tile)
-        for lo, hi in zip(bounds[:-1], bounds[1:]):
-            # Sorted by size, so rows of one bitmap width are neighbours.
-            edges = lo + _runs(width[lo:hi])
-            parts = [(s, np.frombuffer(b"".join(bits[s:e]), np.uint64).reshape(e - s, -1)) for s, e in zip(edges[:-1], edges[1:])]
-            # The band of row i ends where sizes exceed n / 0.85.
-            ends = np.searchsorted(n[lo:hi], n[lo:hi] * 100 // percent, side="right") + lo
-            for begin, rows_of_width in parts:
-                for i in range(begin, begin + len(rows_of_width)):
-                    for first, others in parts:
-                        j = np.arange(max(i + 1, first), min(ends[i - lo], first + len(others)))
-                        j = j[root[j] != root[i]]
-                        if not len(j):
-                            continue
-                        most = most_common(n[i], n[j], rows_of_width[i - begin], others[j - first])
-                        j = j[100 * most >= percent * (n[i] + n[j] - most)]
-                        rows.append((np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])))
-        if rows:
-            a, b = (np.concatenate(c) for c in zip(*rows))
-            pairs = np.unique(np.stack([a, b]), axis=1) if len(a) else np.stack([a, b])
-            for at in range(0, pairs.shape[1], 1 << 16):
-                part = pairs[:, at : at + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part[0].copy()), pa.array(part[1].copy())], ["a", "b"])
-
-    return tiled.repartition("tile").mapInArrow(run, "a long, b long").distinct()
+        found, size = [], 0
+        for table in whole_cells(batches):
+            for a, b in pairs_of_cells(table, percent):
+                found.append((a, b))
+                size += len(a)
+                if size >= PAIR_ROWS:
+                    yield packed(found)
+                    found, size = [], 0
+        if found:
+            yield packed(found)
+
+    ordered = celled(tiled, percent, rows).repartition("cell").sortWithinPartitions("cell", "n", "sid", "side")
+    return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
 def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) -> DataFrame:

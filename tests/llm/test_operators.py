@@ -106,6 +106,38 @@ def test_bitmaps_bound_the_overlap():
         assert most >= len(np.intersect1d(x, y))
 
 
+def test_tiles_in_cells_compare_the_same_pairs(spark):
+    rng = np.random.default_rng(8)
+    pool = rng.integers(0, 2**63, 120, dtype=np.uint64)
+    rows = []
+    for sid in range(90):
+        size = int(rng.choice([1, 9, 20, 22, 25, 60, 66, 100, 118]))
+        tokens = np.unique(rng.choice(pool[:size], size - size // 15 * int(rng.integers(0, 3)), replace=False))
+        rows.append((sid % 2 if sid < 80 else 2, sid, len(tokens), sid % 80, jaccard.bitmap(tokens)))
+    tiled = spark.createDataFrame(rows, "tile long, sid long, n long, root long, bits binary").repartition(5)
+    want = set()
+    for x in rows:
+        for y in rows:
+            if x[0] == y[0] and x[1] < y[1] and x[3] != y[3] and 100 * min(x[2], y[2]) >= 85 * max(x[2], y[2]):
+                most = int(jaccard.most_common(x[2], y[2], *(np.frombuffer(v[4], np.uint64) for v in (x, y))))
+                if 100 * most >= 85 * (x[2] + y[2] - most):
+                    want.add((x[1], y[1]))
+    assert want
+    for size in (1, 3, 20, jaccard.CELL_ROWS):
+        assert {tuple(r) for r in jaccard.banded_pairs(tiled, 85, size).collect()} == want, size
+    assert jaccard.banded_pairs(tiled.limit(0), 85).collect() == []
+
+
+def test_open_cells_are_held_over_batches():
+    cells = [5, 5, 5, 5, 5, 7, 8, 8, 8, 9]
+    for size in (1, 2, 3, 10):
+        batches = [pa.RecordBatch.from_arrays([pa.array(cells[k : k + size])], ["cell"]) for k in range(0, 10, size)]
+        found = [t.column("cell").to_pylist() for t in jaccard.whole_cells(iter(batches))]
+        assert sum(found, []) == cells
+        assert all(x[-1] != y[0] for x, y in zip(found, found[1:]))
+    assert list(jaccard.whole_cells(iter([]))) == []
+
+
 def test_passages_find_the_planted_one(docs, empty):
     found = {(r.doc_id, r.source_id): r for r in passages.passages(docs).collect()}
     assert {(12, 11), (1, 0), (2, 0), (4, 3)} <= set(found)
