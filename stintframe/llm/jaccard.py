@@ -23,7 +23,7 @@ rows are copies. Sets are compared as 64-bit hashes of their shingles.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +36,10 @@ from .hashing import mix, shingles, words
 
 WORDS = 4
 PERCENT = 85
-#: Bitmaps have at least two bits per shingle, a power of two, this many at least.
-LEAST_BITS = 1024
+#: Bitmaps have at least one bit per shingle, a power of two, this many at least.
+LEAST_BITS = 512
 #: Rows of a tile that are compared in one piece, and pairs that a task holds at a time.
-CELL_ROWS, PAIR_ROWS = 4096, 1 << 17
+CELL_ROWS, PAIR_ROWS = 1 << 15, 1 << 17
 #: Rounds against leaders before all pairs of unlike components are compared.
 ROUNDS = 3
 #: A token is common when one of so many documents holds it, and at least MANY.
@@ -57,7 +57,7 @@ def sets_of(texts: pa.Array, k: int) -> Iterator[np.ndarray]:
         yield np.unique(shingles(found.of(i), k))
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for at in range(0, batch.num_rows, BLOCK_ROWS):
             yield batch.slice(at, BLOCK_ROWS)
@@ -71,7 +71,7 @@ def set_id(tokens: np.ndarray) -> int:
 
 
 def bitmap(tokens: np.ndarray) -> bytes:
-    width = max(LEAST_BITS, 1 << (2 * len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
+    width = max(LEAST_BITS, 1 << (len(tokens) - 1).bit_length()) if len(tokens) else LEAST_BITS
     marks = np.zeros(width, np.uint8)
     marks[(tokens >> np.uint64(20)).astype(np.int64) & (width - 1)] = 1
     return np.packbits(marks).tobytes()
@@ -107,11 +107,15 @@ def common_tokens(docs: DataFrame, k: int, rows: int) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataFrame:
-    """(doc_id, n, sid, prefix, bits, tokens) of every document; an empty set has n 0 and no prefix."""
+    """(doc_id, n, sid, prefix, bits, text) of every document; an empty set has n 0 and no prefix.
+
+    The text is kept rather than the set, which is larger; sets are made again for
+    the few classes that are compared exactly.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
-            sizes, ids, heads, lengths, bits, whole = [], [], [], [0], [], []
+            sizes, ids, heads, lengths, bits = [], [], [], [0], []
             for tokens in sets_of(batch.column(1), k):
                 n = len(tokens)
                 head = tokens[:0]
@@ -123,7 +127,6 @@ def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataF
                 heads.append(head)
                 lengths.append(lengths[-1] + len(head))
                 bits.append(bitmap(tokens))
-                whole.append(tokens.tobytes())
             flat = np.concatenate(heads).view(np.int64) if heads else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -132,12 +135,12 @@ def prefixes(docs: DataFrame, k: int, percent: int, common: np.ndarray) -> DataF
                     pa.array(ids, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat)),
                     pa.array(bits, pa.binary()),
-                    pa.array(whole, pa.binary()),
+                    batch.column(1),
                 ],
-                ["doc_id", "n", "sid", "prefix", "bits", "tokens"],
+                ["doc_id", "n", "sid", "prefix", "bits", "text"],
             )
 
-    schema = "doc_id long, n long, sid long, prefix array<long>, bits binary, tokens binary"
+    schema = "doc_id long, n long, sid long, prefix array<long>, bits binary, text string"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -217,8 +220,8 @@ def leader_pairs(tiled: DataFrame, percent: int, turn: int) -> DataFrame:
     )
 
 
-def arrays_of(sets: DataFrame, needed: DataFrame) -> DataFrame:
-    """(sid, tokens) of the classes in ``needed``; sets: (sid, tokens), a class once or more.
+def arrays_of(sets: DataFrame, needed: DataFrame, k: int) -> DataFrame:
+    """(sid, tokens) of the classes in ``needed``; sets: (sid, text), a class once or more.
 
     Which sets are needed is told by a bitmap of fixed size over hashed ids, built
     in Spark; a set with a bit of its own by chance is dropped by the join after.
@@ -242,9 +245,11 @@ def arrays_of(sets: DataFrame, needed: DataFrame) -> DataFrame:
                 code = bitmap.get(bucket)
                 keep.append(code is not None and bool(code[bit >> 3] >> (bit & 7) & 1) and sid not in seen)
                 seen.add(sid)
-            yield batch.select(["sid", "tokens"]).filter(pa.array(keep, pa.bool_()))
+            for part in blocks([batch.select(["sid", "text"]).filter(pa.array(keep, pa.bool_()))]):
+                whole = [tokens.tobytes() for tokens in sets_of(part.column(1), k)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(whole, pa.binary())], ["sid", "tokens"])
 
-    found = sets.select("sid", place.alias("place"), "tokens").mapInArrow(run, "sid long, tokens binary")
+    found = sets.select("sid", place.alias("place"), "text").mapInArrow(run, "sid long, tokens binary")
     return found.join(needed, "sid", "left_semi").dropDuplicates(["sid"])
 
 
@@ -290,10 +295,10 @@ def possible(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
-def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """The links among stored candidate pairs; arrays are read for their members only."""
+def verified(sets: DataFrame, pairs: DataFrame, percent: int, k: int) -> DataFrame:
+    """The links among stored candidate pairs; arrays are made for their members only."""
     members = pairs.select(F.col("a").alias("sid")).unionByName(pairs.select(F.col("b").alias("sid"))).distinct()
-    return stored(linked(pairs, arrays_of(sets, members), percent), "links")
+    return stored(linked(pairs, arrays_of(sets, members, k), percent), "links")
 
 
 def celled(tiled: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataFrame:
@@ -328,7 +333,7 @@ def celled(tiled: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataFrame:
             F.transform(every, lambda k: role(F.col("band") - 1, k, F.col("part"), 2)),
         )
     )
-    return placed.withColumn("role", F.explode(roles)).select("role.cell", "role.side", "sid", "n", "root", "bits")
+    return placed.withColumn("role", F.explode(roles)).select("role.cell", "role.side", "sid", "n", "root")
 
 
 def whole_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
@@ -377,10 +382,11 @@ def pairs_of_cells(table: pa.Table, percent: int) -> Iterator[tuple[np.ndarray,
                         yield np.minimum(sid[i], sid[j]), np.maximum(sid[i], sid[j])
 
 
-def banded_pairs(tiled: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataFrame:
-    """Pairs of unlike roots in a tile that sizes and bitmaps allow; tiled: (tile, sid, n, root, bits).
+def banded_pairs(tiled: DataFrame, marks: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataFrame:
+    """Pairs of unlike roots in a tile that sizes and bitmaps allow; tiled: (tile, sid, n, root), marks: (sid, bits).
 
-    A task holds one cell and one batch of pairs at a time.
+    Bitmaps come to the rows last, and travel once. A task holds one cell and one
+    batch of pairs at a time.
     """
 
     def packed(found: list[tuple]) -> pa.RecordBatch:
@@ -399,7 +405,8 @@ def banded_pairs(tiled: DataFrame, percent: int, rows: int = CELL_ROWS) -> DataF
         if found:
             yield packed(found)
 
-    ordered = celled(tiled, percent, rows).repartition("cell").sortWithinPartitions("cell", "n", "sid", "side")
+    marked = celled(tiled, percent, rows).join(marks.select("sid", "bits"), "sid")
+    ordered = marked.repartition("cell").sortWithinPartitions("cell", "n", "sid", "side")
     return ordered.mapInArrow(run, "a long, b long").distinct()
 
 
@@ -420,8 +427,8 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
             pairs = possible(leader_pairs(now, percent, turn), marks, percent)
         else:  # what is left: every pair of unlike components in a tile
             mixed = now.groupBy("tile").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("tile")
-            pairs = banded_pairs(now.join(mixed, "tile", "left_semi").join(marks.drop("n"), "sid"), percent)
-        found = verified(filled, stored(pairs, "pairs"), percent)
+            pairs = banded_pairs(now.join(mixed, "tile", "left_semi"), marks, percent)
+        found = verified(filled, stored(pairs, "pairs"), percent, k)
         if not found.isEmpty():
             links = found if links is None else links.unionByName(found)
             roots = components(links)

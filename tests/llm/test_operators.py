@@ -114,7 +114,8 @@ def test_tiles_in_cells_compare_the_same_pairs(spark):
         size = int(rng.choice([1, 9, 20, 22, 25, 60, 66, 100, 118]))
         tokens = np.unique(rng.choice(pool[:size], size - size // 15 * int(rng.integers(0, 3)), replace=False))
         rows.append((sid % 2 if sid < 80 else 2, sid, len(tokens), sid % 80, jaccard.bitmap(tokens)))
-    tiled = spark.createDataFrame(rows, "tile long, sid long, n long, root long, bits binary").repartition(5)
+    whole = spark.createDataFrame(rows, "tile long, sid long, n long, root long, bits binary").repartition(5)
+    tiled, marks = whole.drop("bits"), whole.select("sid", "n", "bits")
     want = set()
     for x in rows:
         for y in rows:
@@ -124,8 +125,8 @@ def test_tiles_in_cells_compare_the_same_pairs(spark):
                     want.add((x[1], y[1]))
     assert want
     for size in (1, 3, 20, jaccard.CELL_ROWS):
-        assert {tuple(r) for r in jaccard.banded_pairs(tiled, 85, size).collect()} == want, size
-    assert jaccard.banded_pairs(tiled.limit(0), 85).collect() == []
+        assert {tuple(r) for r in jaccard.banded_pairs(tiled, marks, 85, size).collect()} == want, size
+    assert jaccard.banded_pairs(tiled.limit(0), marks, 85).collect() == []
 
 
 def test_open_cells_are_held_over_batches():
