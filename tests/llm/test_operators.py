@@ -314,6 +314,34 @@ def test_language_model(docs, empty):
     assert pitman_yor.score(empty).collect() == []
 
 
+def test_every_preceding_word_has_a_restaurant(spark):
+    """Each of 1500 words is followed by its own word in half of the texts; none of them shares a restaurant."""
+    pairs = [(k, v) for k in range(1500) for v in (f"next{k}", f"other{k % 7}")]
+    rows = [(i, " ".join(f"word{k} {v}" for k, v in pairs[j : j + 3]) + " fin") for i, j in enumerate(range(0, 3000, 3))]
+    held = {i for i, _ in rows if zlib.crc32(str(i).encode()) % 5 == 1}
+    # One held-out text per word: only the word's own restaurant tells its follower from another word's.
+    out = next(i for i in range(5000, 9000) if zlib.crc32(str(i).encode()) % 5 == 1)
+    ids = [i for i in range(out, 90000) if zlib.crc32(str(i).encode()) % 5 == 1]
+    trained = [k for k, (w, v) in enumerate(pairs) if k // 3 not in held and v.startswith("next")]
+    asked = [pairs[k][0] for k in trained]
+    right = [(i, f"word{k} next{k}") for i, k in zip(ids, asked)]
+    wrong = [(i, f"word{k} next{m}") for i, k, m in zip(ids[len(asked) :], asked, asked[1:] + asked[:1])]
+    table = spark.createDataFrame(rows + right + wrong, "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.score for r in pitman_yor.score(table).collect()}
+    gains = [got[a] - got[b] for (a, _), (b, _) in zip(right, wrong)]
+    assert len(gains) > 1100 and min(gains) > 0.5
+
+
+def test_pair_counts_are_summed_and_packed():
+    """Counts of one word and context meet; held-out pairs stay without customers; numbers keep their value in two or four bytes."""
+    token, context = np.array([5, 5, 9], np.uint64) << np.uint64(10), np.array([0, 7, 7], np.uint64) << np.uint64(10)
+    a = pitman_yor._summed(np.r_[token, token], np.r_[context, context], np.array([1, 2, 0, 1, 0, 4]))
+    assert [x.tolist() for x in a] == [(token).tolist(), context.tolist(), [2, 2, 4]]
+    for top in (3, 40000):
+        numbers = np.array([0, top, 1])
+        assert pitman_yor.widened(pitman_yor.narrow(numbers), 3).tolist() == numbers.tolist()
+
+
 def test_predictive_probabilities_sum_to_one():
     token = np.array([1024, 2048, 3072], np.uint64)
     row = dict(zip(pitman_yor.STATE_COLUMNS, (
