@@ -2,9 +2,11 @@
 
 1. Seeds: hashes of 8 consecutive words; the smallest of every 12 neighbours is
    kept, so any 19 shared words share a seed.
-2. Join: every seed is matched with its first place in the corpus (smallest
-   document, then position), so a passage held by many documents gives one match
-   per holder, not all pairs. Seeds of one document alone drop out.
+2. Matches: every seed is matched with its first holder (smallest document) and
+   with the holder before its own document, so a passage held by many documents
+   gives up to two sources per holder, not all pairs. A passage whose parts have
+   unlike first holders is found in the holder before. Seeds of one document alone
+   drop out.
 3. Chains: per document and source, matches are taken by position; a Fenwick tree
    over the source positions gives the best earlier match at a gap cost that grows
    with the words skipped on both sides.
@@ -14,7 +16,7 @@
 Words are compared with A-Z as a-z. Null and empty texts, and texts of under 8
 words, hold no passage. Copies of a row are documents like others; rows with one
 doc_id are never matched with each other. The first holder of a passage, by
-doc_id, is the source and is left alone.
+doc_id, is a source only and is left alone.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .hashing import Words, shingles, words
@@ -71,14 +73,33 @@ def seeds(docs: DataFrame, k: int = K) -> DataFrame:
 
 
 def matches(found: DataFrame) -> DataFrame:
-    """(doc_id, pos, source, source_pos): every seed with its first place in another document."""
-    first = (
-        found.groupBy("seed")
-        .agg(F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last"))
-        .where("first.doc_id < last")
-        .select("seed", F.col("first.doc_id").alias("source"), F.col("first.pos").alias("source_pos"))
+    """(doc_id, pos, source, source_pos): every seed with its places in other documents.
+
+    These are the first place in the first holder, the one of the same number there
+    (counted round if it has fewer, so repeated lines lie along each other), and
+    the first place in the last holder before the document. One sort by seed,
+    document and position serves all.
+    """
+    places = Window.partitionBy("seed", "doc_id").orderBy("pos")
+    holders = Window.partitionBy("seed")
+    before = holders.orderBy("doc_id").rangeBetween(Window.unboundedPreceding, -1)
+    ranked = found.withColumn("k", F.row_number().over(places)).withColumns(
+        {
+            "first": F.min(F.struct("doc_id", "pos")).over(holders),
+            "last": F.max("doc_id").over(holders),
+            "prior": F.max(F.struct(F.col("doc_id").alias("source"), (-F.col("pos")).alias("turned"))).over(before),
+        }
+    )
+    own = F.collect_list(F.when(F.col("doc_id") == F.col("first.doc_id"), F.col("pos"))).over(holders)
+    listed = ranked.where("first.doc_id < last").withColumn("places", F.sort_array(own)).where("doc_id > first.doc_id")
+    at = lambda source, pos: F.struct(source.alias("source"), pos.alias("source_pos"))
+    first = F.col("first.doc_id")
+    ends = F.array(
+        at(first, F.col("first.pos")),
+        at(first, F.expr("places[(k - 1) % size(places)]")),
+        at(F.col("prior.source"), -F.col("prior.turned")),
     )
-    return found.join(first, "seed").where("doc_id > source").select("doc_id", "pos", "source", "source_pos")
+    return listed.select("doc_id", "pos", F.explode(F.array_distinct(ends)).alias("m")).select("doc_id", "pos", "m.*")
 
 
 def chains_of(x: list[int], y: list[int], k: int = K) -> list[tuple[int, int, int, int]]:

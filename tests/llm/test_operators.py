@@ -314,6 +314,34 @@ def test_language_model(docs, empty):
     assert pitman_yor.score(empty).collect() == []
 
 
+def test_passages_whose_parts_have_other_first_holders(spark, empty):
+    """Documents 1 and 2 hold half of a passage each, too short to count; 3 and 4 hold all of it."""
+    shared = prose(700, 90).split(" ")
+    texts = {1: shared[:45], 2: shared[45:], 3: shared, 4: shared}
+    rows = [(i, " ".join([prose(710 + i, 40), *part, prose(720 + i, 40)])) for i, part in texts.items()]
+    found = passages.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, r.source_id, r.n_words, r.n_equal) for r in found] == [(4, 3, 90, 90)]
+    begin, end = (len(prose(714, 40)) + 1, len(prose(714, 40)) + 1 + len(" ".join(shared)))
+    assert (found[0].start, found[0].end) == (begin, end)
+
+
+def test_matches_of_repeated_seeds_against_brute_force(spark):
+    rng = random.Random(5)
+    rows = sorted({(rng.randrange(6), rng.randrange(5), rng.randrange(40)) for _ in range(150)})
+    want = set()
+    for seed, doc, pos in rows:
+        holders = {d: sorted(p for s, e, p in rows if (s, e) == (seed, d)) for d in {e for s, e, _ in rows if s == seed}}
+        first = min(holders)
+        if doc > first:
+            k = holders[doc].index(pos)
+            prior = max(d for d in holders if d < doc)
+            want |= {(doc, pos, first, holders[first][0]), (doc, pos, first, holders[first][k % len(holders[first])])}
+            want.add((doc, pos, prior, holders[prior][0]))
+    # Rows of unlike seeds at one place may coincide, so they are compared as sets and counted per seed.
+    table = spark.createDataFrame(rows, "seed long, doc_id long, pos int")
+    assert {tuple(r) for r in passages.matches(table).collect()} == want
+
+
 def test_every_preceding_word_has_a_restaurant(spark):
     """Each of 1500 words is followed by its own word in half of the texts; none of them shares a restaurant."""
     pairs = [(k, v) for k in range(1500) for v in (f"next{k}", f"other{k % 7}")]
