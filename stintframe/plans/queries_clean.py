@@ -174,7 +174,7 @@ def s9(spark, sf):
 
 @query("s10_feature_sink", with_parts("lagged", "SELECT dn AS driver_number, pos AS race_position, round(ewm, 6) AS ewm FROM lagged"))
 def s10(spark, sf):
-    table = st.race_table(spark, sf)
+    table = st.whole_race_table(spark, sf)
     path = sinks.write_seasons(table, scratch_path(spark, "features"))
     return cells(sinks.read_seasons(spark, path, table.schema), {"driver_number": "DriverNumber", "race_position": TARGET, "ewm": "DriverFinish_ewm"})
 
@@ -529,7 +529,7 @@ WHERE c IN ('GridPosition', 'RacePosition', 'RaceTime', 'ClassifiedPosition', 'S
 def p23b(spark, sf):
     """Disposition of each column of the race table; the model columns pass the check."""
     audit.check_registry(FINAL_FEATURES)
-    df = st.race_table(spark, sf)
+    df = st.whole_race_table(spark, sf)
     known = [(c, d) for c, _, _, d in LEAKAGE_REGISTRY if c in df.columns]
     out = spark.createDataFrame(known, "`column` string, disposition string")
     return out.withColumn("n", df.agg(F.count("*")).scalar())
