@@ -5,7 +5,6 @@ from __future__ import annotations
 import re
 
 import pyarrow.parquet as pq
-import pytest
 from pyspark.sql import functions as F
 
 from stintframe.operators import frame as fr
@@ -19,15 +18,19 @@ def _plan(df, kind: str = "optimizedPlan") -> str:
     return getattr(df._jdf.queryExecution(), kind)().toString()
 
 
-@pytest.mark.parametrize("rebalance", [True, False])
-def test_files_of_a_season_store_are_bounded(spark, tmp_path, rebalance):
+def test_files_of_a_season_store_are_bounded(spark, tmp_path):
     df = spark.range(100, numPartitions=1).select((F.col("id") % 2 + 2000).cast("int").alias("year"), "id")
-    path = sinks.write_seasons(df, str(tmp_path / "seasons"), rows_per_file=20, rebalance=rebalance)
+    path = sinks.write_seasons(df, str(tmp_path / "seasons"), rows_per_file=20)
     sizes = [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "seasons").glob("year=*/*.parquet")]
     assert max(sizes) <= 20 and sum(sizes) == 100
     assert {r.id for r in sinks.read_seasons(spark, path, df.schema).collect()} == set(range(100))
 
 
+def test_files_of_plain_parquet_are_bounded_if_asked(spark, tmp_path):
+    sinks.write_parquet(spark.range(100, numPartitions=1), str(tmp_path / "plain"), rows_per_file=20)
+    assert [pq.ParquetFile(f).metadata.num_rows for f in (tmp_path / "plain").glob("*.parquet")] == [20] * 5
+
+
 def _tables(spark):
     keys = "year int, round_number int, session_type string, DriverNumber bigint"
     starts = [(2000 + y, r, "R", d) for y in range(2) for r in (1, 2, 3) for d in (1, 2)] + [(2001, 3, "R", None)]
