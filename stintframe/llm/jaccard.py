@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import remove_path, scratch_path
 from .columns import stored
 from .components import components
 from .hashing import mix, shingles, words
@@ -414,7 +415,11 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     """(doc_id, n_shingles, component_id); the smallest doc_id reachable by links."""
     rows = docs.select("doc_id", "text")
     common = common_tokens(rows, k, rows.select("doc_id").count())
-    sets = stored(prefixes(rows, k, percent, common), "sets")
+    # The sets hold the texts: they are removed as soon as the classes are stored.
+    spark, path = docs.sparkSession, scratch_path(docs.sparkSession, "sets")
+    made = prefixes(rows, k, percent, common)
+    made.write.parquet(path)
+    sets = spark.read.schema(made.schema).parquet(path)
     filled = sets.where("n > 0")
     tiled = stored(tiles(filled), "tiles")
     marks = filled.groupBy("sid").agg(F.any_value("n").alias("n"), F.any_value("bits").alias("bits"))
@@ -437,9 +442,12 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
     key = F.when(F.col("n") > 0, F.coalesce("root", "sid"))
     classed = classed.select("doc_id", "n", key.alias("key"))
     lowest = classed.where("key is not null").groupBy("key").agg(F.min("doc_id").alias("low"))
-    return classed.join(lowest, "key", "left").select(
+    classes = classed.join(lowest, "key", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("low", "doc_id").alias("component_id")
     )
+    classes = stored(classes, "classes")
+    remove_path(spark, path)
+    return classes
 
 
 def first_of_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:

@@ -28,6 +28,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import small_side
+from ..session import small_side
 from .hashing import Words, shingles, words
 
 K, NEIGHBOURS = 8, 12
@@ -296,6 +298,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut from all documents but the first that holds them.
 
     Spans are told by doc_id, so rows that share one, or have none, keep their texts.
+    The spans are stored first: where they are small, the documents aren't shuffled again.
     """
     single = docs.groupBy("doc_id").agg(F.count("*").alias("__rows")).where("__rows = 1").select("doc_id")
     spans = (
@@ -304,6 +307,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         .groupBy("doc_id")
         .agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("__spans"))
     )
+    spans = small_side(spans)
 
     def step(a: Column, s: Column) -> Column:
         gap = F.substring("text", a["at"] + 1, F.greatest(s["start"] - a["at"], F.lit(0)).cast("int"))

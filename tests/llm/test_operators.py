@@ -479,6 +479,26 @@ def test_stages_keep_columns_of_any_name(docs, stage):
     assert all(r.n_words == (-26 if r.doc_id is None else -r.doc_id) for r in rows)
 
 
+def test_stages_leave_no_copies_of_the_texts(docs, spark):
+    """The shared folder holds no texts of the documents after a stage."""
+    import glob
+
+    from stintframe.session import scratch_root
+
+    root = scratch_root(spark).removeprefix("file:")
+    for stage in (quality.kept_documents, jaccard.first_of_groups):
+        before = set(glob.glob(f"{root}/stintframe-*"))
+        assert stage(docs).count()
+        for path in set(glob.glob(f"{root}/stintframe-*")) - before:
+            assert not {"text", "__row"} & set(spark.read.parquet(path).columns), path
+
+
+def test_cut_texts_join_stored_spans(docs):
+    """Seeds and chains are not part of the job that cuts the texts."""
+    plan = passages.without_repeats(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and "BroadcastHashJoin" in plan
+
+
 def test_rows_of_one_id_keep_their_texts(docs, spark):
     shared = prose(3, 60)
     extra = [(12, prose(60, 30), "en", "s", 0), (None, shared, "en", "s", 0)]
