@@ -22,9 +22,10 @@ piece) crosses, so both encode as in the whole text. Without such a cut the
 window grows, to the whole text if need be: results never depend on it.
 
 **Counts.** How many texts hold a linked pair is counted over all rows. Texts are
-kept in blocks with the sorted list of their distinct pairs, so a pair that is in
-every text reaches the shuffle once a block; the counts come back to the blocks
-as one array each. Nothing is broadcast and nothing is collected.
+kept in blocks with their distinct pairs, so a pair that is in every text reaches
+the shuffle once a block. A block is stored as rows of a pair or a text each; the
+counts are sorted in front of the block's texts, and a task holds those of one
+block at a time. Nothing is broadcast and nothing is collected.
 
 Texts that are null or empty, or whose joined token bytes of A or B differ from
 the space and the text, have no tokens: zeros and an empty string. Strings of
@@ -40,6 +41,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache, reduce
+from sys import getsizeof
 
 import numpy as np
 import pandas as pd
@@ -54,8 +56,8 @@ CHUNK = 1 << 16
 FAN = 8
 #: Bytes of text that are encoded at once; tokens take some hundred bytes each while encoding.
 AT_ONCE = 1 << 17
-#: Segments of a generation that a worker keeps, about 300 bytes each.
-KNOWN = 1 << 17
+#: Segments of a generation that a worker keeps, about 300 bytes each, and their bytes: segments may be long.
+KNOWN, KNOWN_BYTES = 1 << 17, 1 << 26
 #: Linked pairs (counted once a text) after which a block is closed.
 BLOCK_PAIRS = 1 << 18
 BLOCK_ROWS = 4096
@@ -85,6 +87,7 @@ class Pair:
     shown: np.ndarray  # ids as text followed by , then | then ;
     young: dict[str, Entry | tuple[()]] = field(default_factory=dict)
     old: dict[str, Entry | tuple[()]] = field(default_factory=dict)
+    held: int = 0  # bytes of young
 
 
 def _objects(values: list[bytes]) -> np.ndarray:
@@ -283,6 +286,11 @@ def _packed(n_a: int, n_b: int, n_groups: int) -> int:
     return n_a | n_b << _FIELD | n_groups << 2 * _FIELD
 
 
+def _bytes(segment: str, entry: Entry | tuple[()]) -> int:
+    """Memory of a kept segment, its place in the table included."""
+    return getsizeof(segment) + getsizeof(entry) + sum(map(getsizeof, entry)) + 100
+
+
 def _learn(new: list[str], v: Pair) -> None:
     """Put the closed fragments of segments into ``v.young``; empty where the bytes of a side differ.
 
@@ -313,13 +321,13 @@ def closed_texts(texts: list[str], v: Pair) -> Iterator[tuple[int, int, Closed]
     """(n_a, n_b, groups) of whole texts, composed of the closed fragments of their segments.
 
     Both sides cut at a safe space, so a segment's fragment is closed on both
-    sides and is made once. Two generations of about ``KNOWN`` segments are kept:
-    when the young one is full it becomes the old one, and only what is used
-    again returns from there.
+    sides and is made once. Two generations of about ``KNOWN`` segments or
+    ``KNOWN_BYTES`` are kept: when the young one is full it becomes the old one, and
+    only what is used again returns from there.
     """
     cut = [segments(x) for x in texts]
-    if len(v.young) > KNOWN:
-        v.old, v.young = v.young, {}
+    if len(v.young) > KNOWN or v.held > KNOWN_BYTES:
+        v.old, v.young, v.held = v.young, {}, 0
     young, old = v.young, v.old
     parts = [list(map(young.get, t)) for t in cut]
     missing = {x for t, held in zip(cut, parts) if None in held for x, p in zip(t, held) if p is None}
@@ -327,6 +335,7 @@ def closed_texts(texts: list[str], v: Pair) -> Iterator[tuple[int, int, Closed]
     new = [x for x in missing if x not in old]
     if new:
         _learn(new, v)
+    v.held += sum(_bytes(x, young[x]) for x in missing)
     for t, held in zip(cut, parts):
         held = [young[x] if p is None else p for x, p in zip(t, held)]
         if not all(held):
@@ -493,34 +502,41 @@ def _finished(texts: bool):
     return run
 
 
-def align(
-    docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, texts: bool = True
-) -> DataFrame:
-    """One row a text: token, group and link counts, the groups, and its distinct linked pairs with how often each is linked.
-
-    A pair is ``A id << 32 | B id``. Without ``texts`` the column ``groups`` is null.
-    """
+def _sides(docs: DataFrame, path_a: str, path_b: str, doc_id: str, text: str, chunk: int, texts: bool) -> list[tuple]:
+    """(rows, function to ``ALIGNED``) of the short and, if there are any, of the long texts."""
     bodies = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("body"))
     is_long = F.coalesce(F.octet_length("body") >= chunk, F.lit(False))
-    short = bodies.where(~is_long).mapInArrow(_short(path_a, path_b, texts), ALIGNED)
+    short = bodies.where(~is_long), _short(path_a, path_b, texts)
     # Written, because ids made while reading must not change when a task is run again.
     ranges = stored(
         bodies.where(is_long).withColumn("uid", F.monotonically_increasing_id()).mapInArrow(_ranges(chunk), RANGE), "ranges"
     )
     most = ranges.agg(F.max("k")).first()[0]
     if most is None:
-        return short
+        return [short]
     parts = ranges.repartition("uid", "k").mapInArrow(_fragments(path_a, path_b), FRAGMENT)
     while most > 0:
         above = F.expr(f"k div {FAN}").alias("above")
         parts = parts.groupBy("uid", above).applyInPandas(_reduced(path_a, path_b), FRAGMENT)
         most //= FAN
-    return short.unionByName(parts.mapInArrow(_finished(texts), ALIGNED))
+    return [short, (parts, _finished(texts))]
+
+
+def align(
+    docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK, texts: bool = True
+) -> DataFrame:
+    """One row a text: token, group and link counts, the groups, and its distinct linked pairs with how often each is linked.
+
+    A pair is ``A id << 32 | B id``. Without ``texts`` the column ``groups`` is null.
+    """
+    sides = _sides(docs, path_a, path_b, doc_id, text, chunk, texts)
+    return reduce(DataFrame.unionByName, (rows.mapInArrow(run, ALIGNED) for rows, run in sides))
 
 
 # ---- counts over all texts ---------------------------------------------------
 MEMBER = "doc_id:bigint,n_a:bigint,n_b:bigint,n_groups:bigint,n_links:bigint,groups_sha256:string,at:array<int>,times:array<int>"
-BLOCK = f"block string, pairs array<long>, holders array<int>, members array<struct<{MEMBER}>>"
+#: A row is a distinct pair of a block, or, after its pairs, one of its texts.
+BLOCK = f"block long, at int, pair long, holders int, member struct<{MEMBER}>"
 _PLAIN = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256")
 
 
@@ -534,27 +550,29 @@ def _list_of(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
 
 
 def _blocks(batches):
-    """Rows gathered into blocks that name each distinct pair once."""
-    task = TaskContext.get()
-    number = 0
+    """Rows gathered into blocks that name each distinct pair once, as rows of a pair or a text each."""
+    number = TaskContext.get().partitionId() << _SHIFT
+
+    def rows_of(n: int, at: np.ndarray, **columns: pa.Array) -> pa.RecordBatch:
+        columns |= {"block": pa.array(np.full(n, number)), "at": pa.array(at, pa.int32())}
+        kinds = {"pair": pa.int64(), "holders": pa.int32(), "member": members_type}
+        names = ["block", "at", *kinds]
+        return pa.RecordBatch.from_arrays([columns[c] if c in columns else pa.nulls(n, kinds[c]) for c in names], names)
 
-    def block(rows: pa.Table) -> pa.RecordBatch:
+    def block(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         rows = rows.combine_chunks()
         column = {c: rows.column(c).chunk(0) for c in rows.column_names}
         values, lengths = _flat(column["pairs"])
         pairs, at, holders = np.unique(values, return_inverse=True, return_counts=True)
         lists = [_list_of(pa.array(at, pa.int32()), lengths), _list_of(column["times"].flatten(), lengths)]
         members = pa.StructArray.from_arrays([*(column[c] for c in _PLAIN), *lists], [*_PLAIN, "at", "times"])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([f"{task.stageId()}-{task.partitionId()}-{number}"]),
-                _list_of(pa.array(pairs, pa.int64()), np.array([len(pairs)])),
-                _list_of(pa.array(holders, pa.int32()), np.array([len(pairs)])),
-                _list_of(members, np.array([len(members)])),
-            ],
-            ["block", "pairs", "holders", "members"],
-        )
+        n, m = len(pairs), len(members)
+        if n:
+            yield rows_of(n, np.arange(n), pair=pa.array(pairs, pa.int64()), holders=pa.array(holders, pa.int32()))
+        yield rows_of(m, np.arange(n, n + m), member=members)
 
+    plain = [pa.int64()] * 5 + [pa.string()] + [pa.list_(pa.int32())] * 2
+    members_type = pa.struct(list(zip([*_PLAIN, "at", "times"], plain)))
     held, pairs, n = [], 0, 0
     for batch in batches:
         sizes = batch.column("pairs").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
@@ -562,62 +580,75 @@ def _blocks(batches):
         for k in range(len(batch)):
             pairs, n = pairs + int(sizes[k]), n + 1
             if pairs >= BLOCK_PAIRS or n >= BLOCK_ROWS:
-                yield block(pa.Table.from_batches([*held, batch.slice(at, k + 1 - at)]))
+                yield from block(pa.Table.from_batches([*held, batch.slice(at, k + 1 - at)]))
                 number, held, pairs, n, at = number + 1, [], 0, 0, k + 1
         if at < len(batch):
             held.append(batch.slice(at))
     if held:
-        yield block(pa.Table.from_batches(held))
+        yield from block(pa.Table.from_batches(held))
 
 
 WEIGHED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
 def _weighed(batches):
-    """Rows of the blocks with their links weighed by the counts of the block's pairs."""
+    """Texts of the blocks with their links weighed by the counts of the block's pairs, which come before them."""
+    names = [part.split()[0] for part in WEIGHED.split(", ")]
+    open_block, counts = None, []
     for batch in batches:
-        for k in range(len(batch)):
-            counts = batch.column("counts")[k].values
-            n, best = (np.zeros(0, np.int64),) * 2
-            if counts is not None:
-                n = counts.field("n").to_numpy(zero_copy_only=False)
-                best = counts.field("best").cast(pa.int64()).to_numpy(zero_copy_only=False)
-            members = batch.column("members")[k].values
-            at, lengths = _flat(members.field("at"))
-            times = members.field("times").flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        blocks = batch.column("block").to_numpy()
+        cuts = (np.flatnonzero(np.diff(blocks)) + 1).tolist()
+        for low, high in zip([0, *cuts], [*cuts, len(batch)]):
+            if low == high:
+                continue
+            if blocks[low] != open_block:
+                open_block, counts = blocks[low], []
+            rows = batch.slice(low, high - low)
+            of_pairs = rows.column("member").null_count
+            if of_pairs:
+                weights = (rows.column(c).slice(0, of_pairs).cast(pa.int64()) for c in ("best", "n"))
+                counts.append(np.stack([w.to_numpy(zero_copy_only=False) for w in weights]))
+            if of_pairs == len(rows):
+                continue
+            counts = [np.concatenate(counts, axis=1)] if counts else [np.zeros((2, 0), np.int64)]
+            members = rows.column("member").slice(of_pairs)
+            fields = dict(zip([f.name for f in members.type], members.flatten()))
+            at, lengths = _flat(fields["at"])
+            times = fields["times"].flatten().to_numpy(zero_copy_only=False).astype(np.int64)
             ends = np.cumsum(lengths)
-            sums = []
-            for weight in (best, n):
+            for name, weight in zip(("n_best", "count_sum"), counts[0]):
                 upto = np.concatenate([[0], np.cumsum(weight[at] * times)])
-                sums.append(pa.array(upto[ends] - upto[ends - lengths], pa.int64()))
-            plain = {c: members.field(c) for c in _PLAIN}
-            plain |= {"n_best": sums[0], "count_sum": sums[1]}
-            names = [part.split()[0] for part in WEIGHED.split(", ")]
-            yield pa.RecordBatch.from_arrays([plain[c] for c in names], names)
+                fields[name] = pa.array(upto[ends] - upto[ends - lengths], pa.int64())
+            yield pa.RecordBatch.from_arrays([fields[c] for c in names], names)
 
 
-def weigh(aligned: DataFrame) -> DataFrame:
-    """Rows of ``align`` with ``n_best`` and ``count_sum`` over the counts of all rows.
+def weigh(blocked: DataFrame) -> DataFrame:
+    """Texts of ``_blocks`` with ``n_best`` and ``count_sum`` over the counts of all texts.
 
     ``n_best``: links whose pair is held by the most texts among the pairs of its
     A id, ties included. ``count_sum``: the pair's count, summed over links.
     """
-    blocks = stored(aligned.drop("groups").mapInArrow(_blocks, BLOCK), "blocks")
-    zipped = F.arrays_zip("pairs", "holders")
-    named = blocks.select("block", F.posexplode(zipped).alias("at", "x")).select("block", "at", "x.pairs", "x.holders")
-    counts = stored(named.groupBy("pairs").agg(F.sum("holders").alias("n")), "pairs")
-    a_id = F.shiftright("pairs", _SHIFT)
+    blocks = stored(blocked, "blocks")
+    named = blocks.where(F.col("pair").isNotNull()).select("block", "at", "pair", "holders")
+    counts = stored(named.groupBy("pair").agg(F.sum("holders").alias("n")), "pairs")
+    a_id = F.shiftright("pair", _SHIFT)
     tops = counts.groupBy(a_id.alias("a")).agg(F.max("n").alias("top"))
-    weights = counts.withColumn("a", a_id).join(tops, "a").select("pairs", "n", (F.col("n") == F.col("top")).alias("best"))
-    known = (
-        named.drop("holders")
-        .join(weights, "pairs")
-        .groupBy("block")
-        .agg(F.array_sort(F.collect_list(F.struct("at", "n", "best"))).alias("counts"))
-    )
-    return blocks.select("block", "members").join(known, "block", "left").drop("block").mapInArrow(_weighed, WEIGHED)
+    weights = counts.withColumn("a", a_id).join(tops, "a").select("pair", "n", (F.col("n") == F.col("top")).alias("best"))
+    none = lambda c, kind: F.lit(None).cast(kind).alias(c)
+    known = named.join(weights, "pair").select("block", "at", "n", F.col("best").cast("int"), none("member", f"struct<{MEMBER}>"))
+    texts = blocks.where(F.col("member").isNotNull()).select("block", "at", none("n", "long"), none("best", "int"), "member")
+    ordered = known.unionByName(texts).repartition("block").sortWithinPartitions("block", "at")
+    return ordered.mapInArrow(_weighed, WEIGHED)
 
 
 def alignment(docs: DataFrame, path_a: str, path_b: str, doc_id: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
-    """Counts of every text against the counts of all texts."""
-    return weigh(align(docs, path_a, path_b, doc_id, text, chunk, texts=False))
+    """Counts of every text against the counts of all texts.
+
+    Texts are aligned and gathered into blocks by one worker, so that one holds the encoders, not two.
+    """
+
+    def in_blocks(run):
+        return lambda batches: _blocks(run(batches))
+
+    sides = _sides(docs, path_a, path_b, doc_id, text, chunk, texts=False)
+    return weigh(reduce(DataFrame.unionByName, (rows.mapInArrow(in_blocks(run), BLOCK) for rows, run in sides)))

@@ -141,3 +141,28 @@ def test_kept_segments_give_what_the_whole_text_gives(monkeypatch):
             continue
         want = al.fragment(whole, True, v.shown)
         assert got[:2] == (len(whole.a), len(whole.b)) and flat(al.Fragment(True, closed=got[2])) == flat(want)
+
+
+def test_a_block_is_stored_as_rows_of_one_pair_or_one_text(spark, monkeypatch):
+    """No row, and no list of a grouping, holds a whole block: its memory would grow with the blocks of a task."""
+    monkeypatch.setattr(al, "BLOCK_PAIRS", 40)
+    docs = spark.createDataFrame(texts(12, 1), "doc_id long, text string").repartition(2)
+    blocked = al.align(docs, A, B, texts=False).mapInArrow(al._blocks, al.BLOCK)
+    stored = blocked.collect()
+    assert all((r.pair is None) != (r.member is None) for r in stored)
+    assert sum(r.member is not None for r in stored) == docs.count() and len({r.block for r in stored}) > 8
+    assert len({(r.block, r.at) for r in stored}) == len(stored)
+    assert "collect_list" not in al.weigh(blocked)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_kept_segments_are_bounded_by_their_bytes(monkeypatch):
+    monkeypatch.setattr(al, "KNOWN_BYTES", 1 << 18, raising=False)
+    v, rng = al.encoders(A, B), random.Random(8)
+    monkeypatch.setattr(v, "young", {})
+    monkeypatch.setattr(v, "old", {})
+    size = lambda held: sum(len(x) + sum(map(len, e[1:])) for x, e in held.items())
+    for _ in range(60):
+        text = "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(2000))
+        (got,) = al.closed_texts([text], v)
+        assert got[:2] == tuple(len(x) for x in (lambda t: (t.a, t.b))(al.encode((" " + text).encode(), v)))
+        assert size(v.young) + size(v.old) < 1 << 20
