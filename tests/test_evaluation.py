@@ -285,6 +285,26 @@ def test_random_search_logs_what_it_fits(season_rows, monkeypatch):
         assert all(low <= r.params[name] <= high for r in got)
 
 
+@pytest.mark.parametrize("name", ["m13"])
+def test_study_queries_run_the_whole_study(spark, season_rows, monkeypatch, name):
+    """50 trials over the published ranges; only the fits are left out here."""
+    from stintframe.plans import queries_eval
+
+    asked = {}
+
+    def study(spark, folder, propose, evaluate, folds, trials, params, **options):
+        asked.update(folds=folds, trials=trials, proposals=[propose(t) for t in range(trials)], **options)
+        steps = spark.createDataFrame([(0, 0, 1, 2.0, 2.0, None, None, asked["proposals"][0])], search.steps_schema(params))
+        return search.trial_table(steps, spark.createDataFrame([(0, 0, "COMPLETE", None)], search.FINISHED))
+
+    monkeypatch.setattr(models, "run_study", study)
+    monkeypatch.setattr(queries_eval, "_split", lambda *_: (season_rows, None))
+    monkeypatch.setattr(queries_eval.st, "_once", lambda spark, sf, name, make: make())
+    assert getattr(queries_eval, name)(spark, "none").count() == 1
+    assert (asked["folds"], asked["trials"], asked["startup"], asked["warmup"]) == (3, 50, 5, 2)
+    assert asked["proposals"] == [models.sample_params(random.Random(f"42:{t}")) for t in range(50)]
+
+
 def brute_shapley(x, trees):
     """Shapley values by the definition, from the conditional tree expectation."""
 
