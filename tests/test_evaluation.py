@@ -285,7 +285,7 @@ def test_random_search_logs_what_it_fits(season_rows, monkeypatch):
         assert all(low <= r.params[name] <= high for r in got)
 
 
-@pytest.mark.parametrize("name", ["m13"])
+@pytest.mark.parametrize("name", ["m13", "m15"])
 def test_study_queries_run_the_whole_study(spark, season_rows, monkeypatch, name):
     """50 trials over the published ranges; only the fits are left out here."""
     from stintframe.plans import queries_eval
