@@ -451,12 +451,23 @@ def link_components(docs: DataFrame, k: int = WORDS, percent: int = PERCENT) ->
 
 
 def first_of_groups(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` with one document of each group of near copies: the one with the smallest id.
+    """``docs`` with one row of each group of near copies: the one with the smallest id, a row without an id last.
 
-    Rows that share a doc_id are one document: they stay or go together. A row
-    without a doc_id cannot be named by a group, so it stays.
+    Rows are named by a hash of their text, so rows that share a doc_id or have none
+    are documents like others. Rows without words are linked with nothing and stay.
     """
-    named = docs.where(F.col("doc_id").isNotNull())
-    firsts = link_components(named, k, percent).where("doc_id = component_id").select("doc_id").distinct()
-    kept = named.join(firsts, "doc_id", "left_semi").select(docs.columns)
-    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
+    apart = docs.select(F.struct("*").alias("__row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("key"), "text")
+    classes = link_components(apart.select(F.col("key").alias("doc_id"), "text"), k, percent)
+    groups = classes.select(
+        F.col("doc_id").alias("key"), F.when(F.col("n_shingles") > 0, F.col("component_id")).alias("group")
+    ).distinct()
+    rows = apart.groupBy("key", "id").agg(F.count("*").alias("times")).join(groups, "key")
+    order = F.struct(F.col("id").isNull(), "id", "key", "times")
+    first = rows.where("group is not null").groupBy("group").agg(F.min(order).alias("first"))
+    stay = first.select("first.key", F.col("first.id").alias("of"), "first.times").unionByName(
+        rows.where("group is null").select("key", F.col("id").alias("of"), F.lit(1).cast("long").alias("times"))
+    )
+    kept = apart.withColumnRenamed("key", "own").join(stay, (F.col("own") == F.col("key")) & F.col("id").eqNullSafe(F.col("of")))
+    # Copies under one id or none: any that is first by all its columns.
+    copies = kept.where("times > 1").groupBy("key").agg(F.min_by("__row", F.to_json("__row")).alias("__row"))
+    return kept.where("times = 1").select("__row.*").unionByName(copies.select("__row.*"))

@@ -508,6 +508,16 @@ def test_rows_of_one_id_keep_their_texts(docs, spark):
     assert {r.doc_id: r.text for r in got}[1] != corpus()[1][1]
 
 
+def test_rows_of_one_id_or_none_are_grouped_by_their_texts(spark):
+    a, b, c, d = (prose(800 + i, 90) for i in range(4))
+    rows = [(1, a), (1, a), (None, a), (None, near(a, 9, 1)), (None, b), (None, b), (2, c), (2, d), (4, near(d, 3, 1))]
+    rows += [(3, ""), (None, ""), (None, None), (None, None)]
+    table = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], SCHEMA).repartition(3)
+    got = sorted(((r.doc_id, r.text) for r in jaccard.first_of_groups(table).collect()), key=repr)
+    stay = [(1, a), (None, b), (2, c), (2, d), (3, ""), (None, ""), (None, None), (None, None)]
+    assert got == sorted(stay, key=repr)
+
+
 def test_quality_sketches_of_parts_merge(docs):
     """Sketches of any split of the rows add up to the sketch of all."""
     from pyspark.sql import functions as F
